@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 from operator import and_
 
@@ -56,22 +57,41 @@ def dedup_events(events: DataFrame, cfg: EngineConfig) -> DataFrame:
     """
     key = dedup_key(cfg)
     rest = tie_break_order([c for c in events.columns if c not in key])
+    if not rest:
+        return events.distinct()
     kept = events.groupBy(*key).agg(F.min(F.struct(*rest)).alias("kept"))
     out = [F.col(c) if c in key else F.col(f"kept.{c}").alias(c) for c in events.columns]
     return kept.select(*out)
 
 
+def carried_columns(needed: Collection[str], cfg: EngineConfig) -> list[str]:
+    """The silver columns deduplication must carry to get ``needed`` right.
+
+    Copies are compared column by column, so the values of the first n columns of the
+    kept copy do not depend on the columns after them: the shortest prefix of the
+    comparison order that covers ``needed`` is enough.
+    """
+    key = dedup_key(cfg)
+    order = [c for c in tie_break_order(schema.SILVER.names) if c not in key]
+    last = max((order.index(c) for c in needed if c not in key), default=-1)
+    return key + order[:last + 1]
+
+
 def clean_events(bronze: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Silver rows before deduplication. Works on any subset of the bronze columns
-    that has the essential ones, so that narrow queries read narrow rows."""
+    """Silver rows before deduplication, with the silver columns ``bronze`` has."""
     events = parse_event_date(bronze)
     columns = [c for c in schema.SILVER.names if c in events.columns]
     return require_essentials(focus_filter(events.select(*columns), cfg), cfg)
 
 
-def to_silver(bronze: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """The whole layer. Filters run before the only shuffle."""
-    return dedup_events(clean_events(bronze, cfg), cfg)
+def to_silver(bronze: DataFrame, cfg: EngineConfig,
+              needed: Collection[str] | None = None) -> DataFrame:
+    """The layer, whole or reduced to the ``needed`` columns. Filters run before the
+    only shuffle, and only columns that matter go through it."""
+    events = clean_events(bronze, cfg)
+    if needed is None:
+        return dedup_events(events, cfg)
+    return dedup_events(events.select(*carried_columns(needed, cfg)), cfg).select(*needed)
 
 
 def duplicate_ids(events: DataFrame, cfg: EngineConfig) -> DataFrame:

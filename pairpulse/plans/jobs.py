@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -96,14 +97,15 @@ def run_gold(spark: SparkSession, lake: Lake, due: dict[dt.date, bool],
     silver = lake.silver.read(spark).filter(
         within_months(F.col("event_date"), min(due), _month_after(max(due))))
     # Checked in 64 bits, so that an overflow is a finding and not a failed cast.
-    wide = EngineConfig(**(vars(lake.cfg) | {"measure_type": "bigint"}))
+    wide = replace(lake.cfg, measure_type="bigint")
     rows = index_for(silver, due_frame(spark, due), wide, as_of_month_end, ingested_at)
     with staged(rows, "gold") as kept:
         built = [r.year_month for r in kept.select("year_month").distinct().collect()]
+        # A month that is not complete is left alone; one that need not be must have rows.
+        without = sorted(m for m, full in due.items() if not full and m not in built)
+        if without:
+            raise quality.QualityError(f"gold: no events in {', '.join(map(str, without))}")
         if not built:
-            # A gated month is skipped; a month that had to be built must have rows.
-            if not all(due.values()):
-                raise quality.QualityError("gold: empty=1")
             return []
         ignore = {"extra_months"} if len(due) > 1 else set()
         if lake.cfg.measure_type == "bigint":

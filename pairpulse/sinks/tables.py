@@ -151,10 +151,3 @@ def publish_silver(silver: DataFrame, table: Table, days: Days, cfg: EngineConfi
     for i in range(0, len(specs), 500):
         spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS " + ", ".join(specs[i:i + 500]))
     return len(specs)
-
-
-def drop_months(spark: SparkSession, table: Table, months: Sequence) -> None:
-    """Remove whole months from the index, for months that no longer have any event."""
-    for i in range(0, len(months), 500):
-        specs = ", ".join(f"PARTITION (year_month=DATE'{m}')" for m in months[i:i + 500])
-        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {specs}")
