@@ -19,8 +19,9 @@ def _country(key: str) -> str:
         WHEN {key} IN (20, 22, 24) THEN 'JPN' WHEN {key} = 21 THEN 'AUS' END"""
 
 
-def _bronze() -> str:
-    """The event view over the star schema."""
+def _bronze(month_files: bool = False) -> str:
+    """The event view over the star schema; ``month_files`` moves the day of event and
+    file to the first of its month."""
     known = {
         "GlobalEventID": "l_orderkey * 8 + l_linenumber",
         "Day": "year(ship) * 10000 + month(ship) * 100 + day(ship)",
@@ -49,6 +50,9 @@ def _bronze() -> str:
         "SOURCEURL": "'src/' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR)",
         "input_file_date": "file_date",
     }
+    if month_files:
+        known["Day"] = "year(ship) * 10000 + month(ship) * 100 + 1"
+        known["input_file_date"] = "date_trunc('month', file_date)"
     for place in ("Actor1", "Actor2", "Action"):
         known[f"{place}Geo_Type"] = "1"
         known[f"{place}Geo_Lat"] = "(l_suppkey % 361 - 180) * 0.25::DOUBLE"
@@ -80,19 +84,25 @@ bronze AS (
 
 
 _EVENT_DATE = "CAST(try_strptime(CAST(Day AS VARCHAR), '%Y%m%d') AS DATE)"
-_CLEAN = f"""{_bronze()},
+
+
+def _clean(bronze: str) -> str:
+    return f"""{bronze},
 dated AS (SELECT *, {_EVENT_DATE} AS event_date FROM bronze),
 clean AS (
   SELECT * FROM dated
   WHERE Actor1CountryCode IN ({_FOCUS}) AND Actor2CountryCode IN ({_FOCUS})
     AND event_date IS NOT NULL AND EventRootCode IS NOT NULL
 )"""
+
+
+_CLEAN = _clean(_bronze())
 _LIST = ", ".join(SILVER_COLUMNS)
 
 
-def _dedup(key: list[str]) -> str:
+def _dedup(key: list[str], clean: str = _CLEAN) -> str:
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in tie_break_order(SILVER_COLUMNS) if c not in key)
-    return f"""{_CLEAN},
+    return f"""{clean},
 silver AS (
   SELECT {_LIST} FROM clean
   QUALIFY row_number() OVER (PARTITION BY {', '.join(key)} ORDER BY {order}) = 1
@@ -101,6 +111,7 @@ silver AS (
 
 _SILVER = _dedup(["input_file_date", "GlobalEventID"])
 _SILVER_GLOBAL = _dedup(["GlobalEventID"])
+_SILVER_MONTH_FILES = _dedup(["input_file_date", "GlobalEventID"], _clean(_bronze(month_files=True)))
 
 _COUNTS = {
     "total_events": "count(*)",
@@ -230,7 +241,7 @@ planted AS (
   FROM bronze
 )"""
 
-_PLANTED_LINES = f"""WITH {_bronze()}
+_PLANTED_LINES = f"""WITH {_bronze(month_files=True)}
 SELECT GlobalEventID, Day, FractionDate,
   CASE WHEN GlobalEventID % 50 = 3 THEN '"' || Actor1Name ELSE Actor1Name END AS Actor1Name,
   Actor1CountryCode, Actor2CountryCode, Actor2Type1Code, GoldsteinScale, AvgTone, ActionGeo_Long,
@@ -256,7 +267,10 @@ _SORTED = ", ".join(f"'{c}'" for c in sorted(_CFG.focus_countries))
 
 _ALL_SILVER = f"WITH {_SILVER} SELECT * FROM silver"
 _ALL_GOLD = f"WITH {_GOLD} SELECT {_GOLD_LIST} FROM gold"
-_BACKFILL_GOLD = f"""WITH {_SILVER},
+
+
+def _backfill_gold(silver: str) -> str:
+    return f"""WITH {silver},
 {_PLAN},
 seen AS (SELECT * FROM silver WHERE input_file_date <= last_day(event_date)),
 full_months AS (
@@ -272,6 +286,7 @@ wanted AS (SELECT * FROM seen WHERE {_MONTH} IN (SELECT m FROM eligible)),
 {_gold_cte("wanted")}
 SELECT {_GOLD_LIST} FROM gold"""
 
+
 ORACLES: dict[str, str] = {
     "monthly_index": _ALL_GOLD,
     "silver_events": _ALL_SILVER,
@@ -337,11 +352,11 @@ FROM expected LEFT JOIN arrived ON expected.slot = arrived.slot GROUP BY file_da
     "bronze_cast": f"""WITH {_PLANTED_BRONZE}
 SELECT GlobalEventID, Day, NumMentions, NumSources, GoldsteinScale, AvgTone, Actor1Geo_Lat,
   FractionDate, QuadClass, SOURCEURL, input_file_date FROM planted""",
-    "bronze_replay": f"WITH {_bronze()} SELECT * FROM bronze",
+    "bronze_replay": f"WITH {_bronze(month_files=True)} SELECT * FROM bronze",
     "silver_latest_file_wins": f"""WITH {_SILVER}
 SELECT * FROM silver
 QUALIFY input_file_date = max(input_file_date) OVER (PARTITION BY event_date)""",
-    "silver_replay": _ALL_SILVER,
+    "silver_replay": f"WITH {_SILVER_MONTH_FILES} SELECT * FROM silver",
     "gold_replay": _ALL_GOLD,
     "z_key": f"""WITH {_SILVER},
 ids AS (
@@ -370,9 +385,9 @@ folded AS (SELECT input_file_date, GlobalEventID, count(*) AS copies FROM clean
     "quality_gold": f"WITH {_GOLD} " + _report(_GOLD_CHECKS, "gold"),
     "quality_gold_planted": f"WITH {_PLANTED_GOLD} " + _report(_GOLD_CHECKS, "planted"),
     "backfill_plan": f"WITH {_bronze()}, {_PLAN} SELECT * FROM plan",
-    "backfill_gold": _BACKFILL_GOLD,
-    "backfill_tables": _BACKFILL_GOLD,
-    "stream_silver": _ALL_SILVER,
+    "backfill_gold": _backfill_gold(_SILVER),
+    "backfill_tables": _backfill_gold(_SILVER_MONTH_FILES),
+    "stream_silver": f"WITH {_SILVER_MONTH_FILES} SELECT * FROM silver",
     "affected_months": f"WITH {_SILVER} SELECT DISTINCT input_file_date, {_MONTH} AS year_month FROM silver",
     "country_names": f"""WITH {_GOLD},
 {_NAMES}

@@ -265,15 +265,16 @@ def _file_range(events: DataFrame) -> tuple[dt.date, dt.date, dt.date]:
 
 
 def _overlapping(events: DataFrame) -> list[Days]:
-    """Two ranges that cover all days and share 60 of them."""
+    """Two ranges that cover all days and share 180 of them."""
     lo, mid, end = _file_range(events)
-    shared = dt.timedelta(days=30)
+    shared = dt.timedelta(days=90)
     return [Days(lo, mid + shared), Days(mid - shared, end)]
 
 
 def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark)
-    events = star_events(spark, sf_dir).withColumn("ingested_at", F.lit(_LOADED).cast("timestamp"))
+    events = fx.month_files(star_events(spark, sf_dir)).withColumn(
+        "ingested_at", F.lit(_LOADED).cast("timestamp"))
     with staged(events, "bronze_replay") as rows:
         for days in _overlapping(rows):
             publish(rows.filter(days.contains(F.col("input_file_date"))), lake.bronze)
@@ -284,7 +285,8 @@ def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First every row goes in with its event a day early, then as it should be. Only
     the second version may remain."""
     lake = _new_lake(spark)
-    right = silver_events(spark, sf_dir).withColumn("ingested_at", F.lit(_LOADED).cast("timestamp"))
+    bronze = fx.month_files(star_events(spark, sf_dir, fx.BRONZE_FOR_SILVER))
+    right = silver.to_silver(bronze, CFG).withColumn("ingested_at", F.lit(_LOADED).cast("timestamp"))
     with staged(right, "silver_replay") as rows:
         wrong = rows.withColumn("event_date", F.date_sub("event_date", 1))
         lo, _, end = _file_range(rows)

@@ -27,7 +27,9 @@ def csv_options(quote: str = "") -> dict[str, str]:
     """Event files are not quoted, so quoting is off: with the CSV default a field that
     starts with a quote would swallow the tabs after it. ``quote='"'`` restores that."""
     return {"sep": "\t", "header": "false", "quote": quote, "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": _CORRUPT}
+            "columnNameOfCorruptRecord": _CORRUPT,
+            # A pruned scan would only notice what is wrong with the columns it keeps.
+            "columnPruning": "false"}
 
 
 def read_tsv(spark: SparkSession, landing: str, days: Days | None = None,
