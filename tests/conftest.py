@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                os.path.dirname(os.path.abspath(__file__))]
+
+import __spark_entry__  # noqa: E402,F401  (registers the package for Python workers)
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    root = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[8]").appName("pairpulse-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", f"{root}/warehouse")
+        .config("spark.checkpoint.dir", f"{root}/scratch")
+        .getOrCreate())
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
