@@ -18,8 +18,8 @@ from pairpulse.streaming.incremental import load_landed
 from samples import LOADED, land, line, rows, slot_name
 
 CFG = EngineConfig()
-FIRST, END = dt.date(2025, 1, 28), dt.date(2025, 3, 2)
-OUTAGE = {dt.date(2025, 2, 11)}
+FIRST, END = dt.date(2025, 2, 23), dt.date(2025, 3, 3)
+OUTAGE = {dt.date(2025, 2, 25)}
 
 
 def new_lake(spark, path):
@@ -34,7 +34,7 @@ def days_between(start, end):
 
 @pytest.fixture(scope="module")
 def landing(tmp_path_factory):
-    """Five weeks around February 2025 with duplicates, late events and a day missing."""
+    """A week around a month's end with duplicates, late events and a day missing."""
     folder = tmp_path_factory.mktemp("landing")
     rng = random.Random(11)
     for day in days_between(FIRST, END):
@@ -42,7 +42,7 @@ def landing(tmp_path_factory):
             continue
         for quarter in (0, 95):
             text = []
-            for i in range(6):
+            for i in range(20):
                 event = day - dt.timedelta(days=rng.choice([0, 0, 0, 1, 30]))
                 text.append(line(
                     GlobalEventID=rng.randint(1, 40), Day=f"{event:%Y%m%d}",
@@ -69,7 +69,7 @@ def backfilled(spark, landing, tmp_path_factory):
 
 def test_backfill_equals_one_day_after_the_other(spark, landing, backfilled, tmp_path):
     whole, built = backfilled
-    # January lacks its first days and is gated; February is lifted by the outage.
+    # February lacks most of its days, but the outage lifts the gate.
     assert built == [dt.date(2025, 2, 1)]
     daily = new_lake(spark, tmp_path)
     full = True
@@ -96,7 +96,7 @@ def test_rerun_changes_nothing(spark, landing, backfilled):
 def test_stream_equals_batch(spark, landing, backfilled, tmp_path):
     lake = new_lake(spark, tmp_path)
     # Batches that end in the middle of a day.
-    load_landed(spark, lake, landing, str(tmp_path / "ckpt"), files_per_batch=27).awaitTermination()
+    load_landed(spark, lake, landing, str(tmp_path / "ckpt"), files_per_batch=5).awaitTermination()
     assert snapshot(spark, lake)[:2] == snapshot(spark, backfilled[0])[:2]
 
 
