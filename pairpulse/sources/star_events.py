@@ -88,8 +88,9 @@ def star_events(spark: SparkSession, sf_dir: str,
     rows = table("lineitem")
     if reads(_ACTOR1):
         # Orders meet customers first, so that line items are shuffled once for both.
+        # Line items and orders grow together: neither is ever to be broadcast.
         actors = table("orders").join(table("customer"), F.expr("o_custkey = c_custkey"), "left")
-        rows = rows.join(actors, F.expr("l_orderkey = o_orderkey"), "left")
+        rows = rows.join(actors.hint("merge"), F.expr("l_orderkey = o_orderkey"), "left")
     if reads(_ACTOR2):
         rows = rows.join(table("supplier"), F.expr("l_suppkey = s_suppkey"), "left")
     if reads(_PART):
