@@ -273,10 +273,10 @@ def _backfill_gold(silver: str) -> str:
     return f"""WITH {silver},
 {_PLAN},
 seen AS (SELECT * FROM silver WHERE input_file_date <= last_day(event_date)),
-full_months AS (
-  SELECT {_MONTH} AS year_month FROM seen GROUP BY ALL
-  HAVING count(DISTINCT event_date) = day(last_day({_MONTH}))
+seen_months AS (
+  SELECT {_MONTH} AS year_month, count(DISTINCT event_date) AS days_present FROM seen GROUP BY ALL
 ),
+full_months AS (SELECT year_month FROM seen_months WHERE days_present = {_DAYS}),
 eligible AS (
   SELECT CAST(date_trunc('month', file_date) AS DATE) AS m FROM plan
   WHERE run_gold AND (NOT require_full_month

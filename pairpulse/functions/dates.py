@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
@@ -31,12 +31,24 @@ class Days:
         every = {first + dt.timedelta(days=i) for i in range((last - first).days + 1)}
         return cls(first, last + dt.timedelta(days=1), frozenset(every - set(days)))
 
+    def _among(self, value: Column, render: Callable[[dt.date], object]) -> Column:
+        """Membership as a range plus the shorter of the two lists of days."""
+        hit = (value >= F.lit(render(self.start))) & (value < F.lit(render(self.end)))
+        if not self.skip:
+            return hit
+        kept = [d for i in range((self.end - self.start).days)
+                if (d := self.start + dt.timedelta(days=i)) not in self.skip]
+        if len(kept) < len(self.skip):
+            return hit & value.isin([render(d) for d in kept])
+        return hit & ~value.isin([render(d) for d in sorted(self.skip)])
+
     def contains(self, date: Column) -> Column:
         """Predicate that prunes partitions when ``date`` is a partition column."""
-        hit = (date >= F.lit(self.start)) & (date < F.lit(self.end))
-        if self.skip:
-            hit = hit & ~date.isin(sorted(self.skip))
-        return hit
+        return self._among(date, lambda d: d)
+
+    def contains_digits(self, day: Column) -> Column:
+        """The same for a day given as yyyyMMdd."""
+        return self._among(day, lambda d: d.strftime("%Y%m%d"))
 
 
 def event_date(day: Column) -> Column:
@@ -82,8 +94,4 @@ def file_date(path: Column) -> Column:
 def path_in_days(path: Column, days: Days) -> Column:
     """File-level predicate. Comparing digits, not dates, keeps it deterministic and
     without a time zone, so the scan can apply it to the file listing."""
-    day = F.substring(slot_digits(path), 1, 8)
-    hit = (day >= F.lit(days.start.strftime("%Y%m%d"))) & (day < F.lit(days.end.strftime("%Y%m%d")))
-    if days.skip:
-        hit = hit & ~day.isin([d.strftime("%Y%m%d") for d in sorted(days.skip)])
-    return hit
+    return days.contains_digits(F.substring(slot_digits(path), 1, 8))

@@ -36,10 +36,9 @@ def backfill_plan(spark: SparkSession, start: dt.date = HISTORY_START,
     """Plan for ``start <= file date < end``; by default up to, not including, yesterday."""
     end = end or dt.date.today() - dt.timedelta(days=1)
     skip = outage_days() if skip is None else skip
-    day = F.col("day")
-    hit = day.isin(list(skip)) if skip else F.lit(False)
+    loaded = Days(start, end, frozenset(skip)).contains(F.col("day"))
     return with_plan(coverage.calendar(spark, start, end).select(
-        day.alias("file_date"), hit.alias("is_skipped")))
+        F.col("day").alias("file_date"), (~loaded).alias("is_skipped")))
 
 
 def due_months(plan: DataFrame) -> DataFrame:
