@@ -54,4 +54,4 @@ def pair_detail(named: DataFrame, source: str, target: str) -> DataFrame:
 
 def pair_message(series: DataFrame) -> str | None:
     """What to tell the reader when a pair has no data."""
-    return "No data available for this country pair." if series.isEmpty() else None
+    return "There are no months for this pair of countries." if series.isEmpty() else None

@@ -61,13 +61,13 @@ class Lake:
     @property
     def bronze(self) -> Table:
         return Table(f"{self.prefix}bronze.events", schema.BRONZE, ("input_file_date",),
-                     "Raw coded events. Snake-case columns are derived.")
+                     "Coded events as published, with file date and load time.")
 
     @property
     def silver(self) -> Table:
         return Table(f"{self.prefix}silver.events", schema.SILVER,
                      ("input_file_date", "event_date"),
-                     "Clean events between focus countries. Snake-case columns are derived.")
+                     "Clean events between focus countries, one row per id and file date.")
 
     @property
     def gold(self) -> Table:
@@ -76,12 +76,13 @@ class Lake:
 
     def create(self, spark: SparkSession, root: str | None = None) -> None:
         """Create what does not exist yet, below ``root`` if one is given."""
-        purpose = {"bronze": "raw source data", "silver": "cleaned and filtered data",
-                   "gold": "analytics-ready data"}
+        purpose = {"bronze": "Event lines as they came, typed",
+                   "silver": "Events between focus countries, one row per id",
+                   "gold": "Monthly index per country pair"}
         for layer, table in (("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold)):
             where = f" LOCATION '{root}/{table.database}'" if root else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.database} "
-                      f"COMMENT '{layer.title()} layer: {purpose[layer]}'{where}")
+                      f"COMMENT '{purpose[layer]}'{where}")
             spark.sql(table.create_sql())
 
 

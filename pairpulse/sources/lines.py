@@ -34,10 +34,12 @@ def csv_options(quote: str = "") -> dict[str, str]:
 
 def read_tsv(spark: SparkSession, landing: str, days: Days | None = None,
              quote: str = "") -> DataFrame:
-    """Scan of all plain files below ``landing``; ``days`` prunes the file listing."""
+    """Scan of all plain files below ``landing`` (a folder or a glob). Predicates on the
+    path are applied to the listing: ``days`` prunes it, and archives are passed over."""
     lines = (spark.read.schema(_PARSED).options(**csv_options(quote))
              .option("recursiveFileLookup", "true").csv(landing))
     path = F.col("_metadata.file_path")
+    lines = lines.filter(~path.endswith(".zip"))
     if days is not None:
         lines = lines.filter(path_in_days(path, days))
     return lines.select(

@@ -96,9 +96,9 @@ def test_days_prune_the_landing_listing(spark, tmp_path):
     for i in range(1, 6):
         land(tmp_path, dt.date(2025, 1, i), [line(GlobalEventID=i)])
         land(tmp_path, dt.date(2025, 1, i), [line(GlobalEventID=i)], archive=True)
-    for n, df in ((1, lines.read_tsv(spark, str(tmp_path / "*.CSV"), Days.one(dt.date(2025, 1, 2)))),
+    for n, df in ((1, lines.read_tsv(spark, str(tmp_path), Days.one(dt.date(2025, 1, 2)))),
                   (2, lines.list_archives(spark, str(tmp_path), Days(dt.date(2025, 1, 2), dt.date(2025, 1, 4))))):
-        assert "DataFilters: [(substring(regexp_extract(file_path" in plan(df)
+        assert re.search(r"DataFilters: \[.*substring\(regexp_extract\(file_path", plan(df))
         assert df.count() == n
 
 
