@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pairpulse import EngineConfig, schema
 from pairpulse.functions.dates import Days
+from pairpulse.functions.zorder import z_key
 from pairpulse.operators import silver
 from pairpulse.sinks import staging
 from pairpulse.sinks.extract import export_index_csv, extract_name
@@ -128,6 +129,20 @@ def test_layout_skips_on_either_country_and_splits_a_hot_pair(spark, tmp_path):
         assert len(touched) < len(stats)
 
 
+def test_published_files_keep_the_clustered_order(spark, lake, tmp_path):
+    pairs = [(a, b) for a in ("USA", "CHN", "RUS", "TWN") for b in ("USA", "IRN", "GBR")]
+    events = [{"GlobalEventID": i, "Actor1CountryCode": pairs[i * 7 % 12][0],
+               "Actor2CountryCode": pairs[i * 7 % 12][1], "Day": 20250110 + i % 2} for i in range(240)]
+    publish_silver(clean(spark, *events), lake.silver, Days.one(F1), CFG)
+    files = spark.table(lake.silver.name).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"),
+        z_key(CFG).alias("z"), "GlobalEventID").collect()
+    by_file = {}
+    for r in sorted(files, key=lambda r: r.n):
+        by_file.setdefault(r.file, []).append((r.z, r.GlobalEventID))
+    assert len(files) == 240 and all(v == sorted(v) for v in by_file.values())
+
+
 def test_staged_rows_are_computed_once_and_dropped(spark):
     noisy = spark.range(100).withColumn("x", F.rand())
     with staging.staged(noisy, "noisy") as kept:
