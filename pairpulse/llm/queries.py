@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairpulse.llm import licenses, mixing, sharding
+from pairpulse.llm import licenses, mixing, near_dedup, sharding
 from pairpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                          "component_id")
+
+
 def op5_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.interleaved_shards(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -33,6 +39,7 @@ def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_license_scan": op2_license_scan,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_interleaved_sharding": op5_interleaved_sharding,
     "op9_pivotal_mixing": op9_pivotal_mixing,
 }
