@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairpulse.llm import decontamination, licenses, mixing, near_dedup, sharding
+from pairpulse.llm import decontamination, language, licenses, mixing, near_dedup, sharding
 from pairpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,10 +42,18 @@ def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identified(docs, language.fit(docs), "doc_id")
+    return found.select("doc_id", language.is_held_out(F.col("doc_id")).alias("held_out"),
+                        "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_interleaved_sharding": op5_interleaved_sharding,
     "op9_pivotal_mixing": op9_pivotal_mixing,
+    "op10_language_crf": op10_language_crf,
 }
