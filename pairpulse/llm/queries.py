@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairpulse.llm import decontamination, language, licenses, mixing, near_dedup, sharding
+from pairpulse.llm import decontamination, language, licenses, mixing, near_dedup, paragraphs, sharding
 from pairpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op5_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("key"), "source", mixing.words_of().alias("size"))
@@ -54,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op2_license_scan": op2_license_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_interleaved_sharding": op5_interleaved_sharding,
+    "op8_repeated_paragraphs": op8_repeated_paragraphs,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_language_crf": op10_language_crf,
 }
