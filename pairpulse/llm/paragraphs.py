@@ -1,4 +1,4 @@
-"""Repeated passages: paragraphs by MinHash banding, and runs of repeated sentences."""
+"""Repeated passages: paragraphs by MinHash banding, and runs of repeated segments."""
 
 from __future__ import annotations
 
@@ -18,11 +18,13 @@ SHINGLE_WORDS = 5
 LEAST_SIMILARITY = 0.8
 #: Share of the pairs at that similarity that must collide in a band.
 RECALL = 0.99
-#: Words of a paragraph (a line), and of a sentence, that are looked at.
-PARAGRAPH_WORDS, SENTENCE_WORDS = 20, SHINGLE_WORDS
-#: Repeated sentences this many words apart are one run, and runs must be so long.
-RUN_GAP, RUN_WORDS = 12, 25
-_LINE, _SENTENCE = 0, 1
+#: Words of a paragraph (a line), and of a segment, that are looked at.
+PARAGRAPH_WORDS, SEGMENT_WORDS = 20, SHINGLE_WORDS
+#: One in so many pairs of neighbouring words ends a segment.
+SEGMENT_RATE = 6
+#: Repeated segments this many words apart are one run, and runs must be so long.
+RUN_GAP, RUN_WORDS = 12, 20
+_LINE, _SEGMENT, _SHINGLES = 0, 1, 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,17 +38,20 @@ BANDS = bands(rows=ROWS)
 
 
 def _units(data: np.ndarray, bounds: np.ndarray):
-    """Paragraphs and sentences of texts: words found, and first and last word of each."""
+    """Paragraphs and segments of texts: words found, and first and last word of each.
+
+    A line is cut into segments where the hash of two neighbouring words says so, so a
+    passage has the same cuts wherever it stands, with or without punctuation.
+    """
     found = words(data, bounds)
-    n = len(found.hashes)
-    newline = np.flatnonzero(data == 10)
-    mark = np.flatnonzero((data == 46) | (data == 33) | (data == 63))
-    follows = data[np.minimum(mark + 1, len(data) - 1)]
-    mark = mark[(follows == 32) | (follows == 10)]
-    lines = np.unique(np.concatenate([found.first, np.searchsorted(found.starts, newline)]))
-    sentences = np.unique(np.concatenate([lines, np.searchsorted(found.starts, mark, "right")]))
+    h = found.hashes
+    n = len(h)
+    lines = np.unique(np.concatenate(
+        [found.first, np.searchsorted(found.starts, np.flatnonzero(data == 10))]))
+    cuts = np.flatnonzero(mix(h[:-1] * _ODD + h[1:]) % np.uint64(SEGMENT_RATE) == 0) + 1
+    segments = np.unique(np.concatenate([lines, cuts]))
     units = []
-    for cuts, least in ((lines, PARAGRAPH_WORDS), (sentences, SENTENCE_WORDS)):
+    for cuts, least in ((lines, PARAGRAPH_WORDS), (segments, SEGMENT_WORDS)):
         cuts = np.unique(np.append(cuts, n))
         lo, hi = cuts[:-1], cuts[1:]
         keep = hi - lo >= least
@@ -81,15 +86,15 @@ def _band_keys(shingles: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarr
 
 
 def _scan(texts: pa.Array):
-    """Of each run of texts: rows, places and keys of its paragraphs and sentences."""
+    """Of each run of texts: rows, places and keys of its paragraphs and segments."""
     for at, data, bounds in chunks(texts):
         if not len(data):
             continue
         found, ((pl, ph), (sl, sh)) = _units(data, bounds)
         shingles = shingle_hashes(found.hashes, SHINGLE_WORDS)
         paragraph = _sequence_hash(found.hashes, pl, ph, _LINE + 1)
-        sentence = _sequence_hash(found.hashes, sl, sh, _SENTENCE + 1)
-        yield (at, found, shingles, (pl, ph, paragraph, _band_keys(shingles, pl, ph)), (sl, sh, sentence))
+        segment = _sequence_hash(found.hashes, sl, sh, _SEGMENT + 1)
+        yield (at, found, shingles, (pl, ph, paragraph, _band_keys(shingles, pl, ph)), (sl, sh, segment))
 
 
 def _jaccard(a: set, b: set) -> bool:
@@ -131,13 +136,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     5-word shingles is cut into bands whose number makes ``RECALL`` of the pairs at
     Jaccard ``LEAST_SIMILARITY`` collide; colliding paragraphs are compared by exact
     Jaccard and joined into components. A passage that is set into a longer paragraph is
-    found by its sentences: one that recurs word for word has one band, its hash, and runs
-    of ``RUN_WORDS`` words or more of such sentences are passages.
+    found by its segments, cut by content: too short to change a word and stay similar,
+    they have one band, their hash. Runs of ``RUN_WORDS`` words or more of segments that
+    recur word for word are passages.
 
     Returns ``doc_id, kind, start_word, end_word, component_id, kept``: one row per
     paragraph (kind ``paragraph``) or run (kind ``run``) that occurs in two or more
     documents, places in words from 0, end exclusive. ``component_id`` is the smallest
-    ``doc_id`` that holds a member of the component (for a run, any of its sentences);
+    ``doc_id`` that holds a member of the component (for a run, any of its segments);
     ``kept`` is true for the one occurrence, first by id and place, that stays. Documents
     without repeated passages, null and empty texts give no rows. Rows without an id are
     not looked at; rows of equal ids are one document. Other columns are ignored.
@@ -149,9 +155,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, _, (_, _, paragraph, band_keys), (_, _, sentence) in _scan(batch.column("text")):
-                key = np.concatenate([band_keys.ravel(), sentence]).view(np.int64)
-                unit = np.concatenate([np.tile(paragraph, BANDS), sentence]).view(np.int64)
+            for _, _, _, (_, _, paragraph, band_keys), (_, _, segment) in _scan(batch.column("text")):
+                key = np.concatenate([band_keys.ravel(), segment]).view(np.int64)
+                unit = np.concatenate([np.tile(paragraph, BANDS), segment]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(unit)], names=["key", "unit"])
 
     held = saved(texts.mapInArrow(keys, "key long, unit long").groupBy("key")
@@ -168,7 +174,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         repeated, several = shared.value
         for batch in batches:
             ids = batch.column("doc_id")
-            for at, found, shingles, (pl, ph, paragraph, band_keys), (sl, sh, sentence) in _scan(batch.column("text")):
+            for at, found, shingles, (pl, ph, paragraph, band_keys), (sl, sh, segment) in _scan(batch.column("text")):
                 text = np.repeat(np.arange(len(found.bounds) - 1), np.diff(found.first))
                 columns = []
                 near = np.zeros(len(pl), bool)
@@ -177,9 +183,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                     near |= close
                     own = np.flatnonzero(close | (repeated.holds(band_keys[band]) if band == 0 else False))
                     columns.append((_LINE, own, pl, ph, paragraph, band_keys[band], None))
-                columns.append((2, np.flatnonzero(near), pl, ph, paragraph, paragraph, shingles))
-                columns.append((_SENTENCE, np.flatnonzero(repeated.holds(sentence)), sl, sh, sentence,
-                                sentence, None))
+                columns.append((_SHINGLES, np.flatnonzero(near), pl, ph, paragraph, paragraph, shingles))
+                columns.append((_SEGMENT, np.flatnonzero(repeated.holds(segment)), sl, sh, segment,
+                                segment, None))
                 for kind, own, lo, hi, unit, key, payload in columns:
                     if not len(own):
                         continue
@@ -198,7 +204,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     placed = saved(texts.mapInArrow(places, schema))
     lines = placed.filter(F.col("kind") == _LINE)
     buckets = (lines.join(held.filter("several"), "key", "left_semi").select("key", "unit").distinct())
-    payload = placed.filter("kind = 2").groupBy("unit").agg(F.first("shingles").alias("shingles"))
+    payload = placed.filter(F.col("kind") == _SHINGLES).groupBy("unit").agg(F.first("shingles").alias("shingles"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = payload.select(F.col("unit").alias("a"), F.col("shingles").alias("sa"))
@@ -209,7 +215,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     where = lines.select("doc_id", "unit", "start", "stop").distinct()
     paragraphs = (where.join(classes, F.col("unit") == F.col("node"), "left")
                   .withColumn("class", F.coalesce("component", "unit")).drop("node", "component"))
-    sentences = (placed.filter(F.col("kind") == _SENTENCE)
+    segments = (placed.filter(F.col("kind") == _SEGMENT)
                  .join(held.select(F.col("key")), "key", "left_semi")
                  .select("doc_id", "unit", "start", "stop", F.col("unit").alias("class")))
 
@@ -225,13 +231,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         is_first.alias("kept"))
     along = Window.partitionBy("doc_id").orderBy("start", "stop", "class")
     gap = F.col("start") - F.lag("stop").over(along)
-    runs = (first_of(sentences).withColumn("_first", is_first)
+    runs = (first_of(segments).withColumn("_first", is_first)
             .withColumn("_new", F.when(gap.isNull() | (gap > RUN_GAP), 1).otherwise(0))
             .withColumn("_run", F.sum("_new").over(along))
             .groupBy("doc_id", "_run")
             .agg(F.min("start").alias("start_word"), F.max("stop").alias("end_word"),
-                 F.sum(F.col("stop") - F.col("start")).alias("_words"),
                  F.min("least.doc_id").alias("component_id"), F.min("_first").alias("kept"))
-            .filter(F.col("_words") >= RUN_WORDS)
+            .filter(F.col("end_word") - F.col("start_word") >= RUN_WORDS)
             .select("doc_id", F.lit("run").alias("kind"), "start_word", "end_word", "component_id", "kept"))
     return found.unionByName(runs)
