@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairpulse.llm import decontamination, language, licenses, mixing, near_dedup, paragraphs, sharding
+from pairpulse.llm import decontamination, language, licenses, lines, mixing, near_dedup, paragraphs, sharding
 from pairpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "component_id")
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_counts(table(spark, sf_dir, "documents"))
+
+
 def op5_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.interleaved_shards(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_interleaved_sharding": op5_interleaved_sharding,
     "op8_repeated_paragraphs": op8_repeated_paragraphs,
     "op9_pivotal_mixing": op9_pivotal_mixing,
