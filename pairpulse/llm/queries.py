@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairpulse.llm import decontamination, embeddings, language, licenses, lines, mixing, near_dedup, paragraphs, sharding
+from pairpulse.llm import decontamination, embeddings, language, licenses, lines, mixing, near_dedup, paragraphs, personal_data, sharding
 from pairpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op6_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.linked_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_interleaved_sharding": op5_interleaved_sharding,
     "op6_embedding_graph": op6_embedding_graph,
+    "op7_contextual_pii": op7_contextual_pii,
     "op8_repeated_paragraphs": op8_repeated_paragraphs,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_language_crf": op10_language_crf,
