@@ -20,22 +20,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``df``, computed once and kept in the shared checkpoint folder.
-
-    The folder is the cluster's ``spark.checkpoint.dir``. Where that is unset, as in
-    tests, a folder below the warehouse is taken. Files go when nothing refers to the
-    frame any more, if the session says so (``cleaner.referenceTracking.cleanCheckpoints``).
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; where unset, as in tests, one below the warehouse."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         context.setCheckpointDir(context.getConf().get(
             "spark.checkpoint.dir", os.path.join(warehouse, "_checkpoints")))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """``df``, computed once and kept in the shared folder, so a lost executor costs nothing.
+
+    Files go when nothing refers to the frame any more, if the session says so
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_row_key(docs: DataFrame, name: str) -> DataFrame:
     """Rows numbered by partition and place.
 

@@ -8,10 +8,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
-from pairpulse.llm.common import with_row_key
+import pairpulse.llm.common  # noqa: F401  ships the package to Python workers
 from pairpulse.llm.text import bits_of, chunks, packed, shingle_hashes, words
 
 SHINGLE_WORDS = 5
@@ -173,6 +175,30 @@ def _leaks(found, items: Items, index: Index, out: dict) -> None:
             out[t, item] = (best[0], -best[1] - first)
 
 
+def _found(texts: pa.Array, items: Items, index: Index) -> dict:
+    """``(row, item) -> (similarity, first word)`` of the leaks in a column of texts."""
+    out: dict = {}
+    if len(items.ids):
+        for at, data, bounds in chunks(texts, _TEXT_BYTES):
+            own: dict = {}
+            _leaks(words(data, bounds), items, index, own)
+            out |= {(at + t, item): v for (t, item), v in own.items()}
+    return out
+
+
+def _passes(benchmark: DataFrame) -> Iterator[Broadcast]:
+    """The benchmark in parts of bounded size, each broadcast."""
+    spark = benchmark.sparkSession
+    items = benchmark.select("item_id", "text")
+    total = items.agg(F.count("*").alias("n"),
+                      F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
+    passes = max(1, -(-total.n // PASS_ITEMS), -(-total.b // PASS_BYTES))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
+    for number in range(passes):
+        rows = items.filter(part == number).collect()
+        yield spark.sparkContext.broadcast(prepared([tuple(r) for r in rows]))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, *keys: str) -> DataFrame:
     """Benchmark items that stand in a document, with the columns ``keys`` of the document.
 
@@ -191,30 +217,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *keys: str) -> DataFrame:
     The benchmark is broadcast in passes of at most ``PASS_ITEMS`` items or about
     ``PASS_BYTES``, a fixed bound that does not grow with it; documents are never shuffled.
     """
-    spark = docs.sparkSession
-    items = benchmark.select("item_id", "text")
-    total = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
-    passes = max(1, -(-total.n // PASS_ITEMS), -(-total.b // PASS_BYTES))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
     kept = docs.select(*keys, "text")
-    schema = (kept.drop("text").schema.add("item_id", items.schema["item_id"].dataType)
-              .add("similarity", "double").add("start_word", "long").add("n_words", "long"))
+    id_type = benchmark.schema["item_id"].dataType
+    schema = StructType([*(kept.schema[k] for k in keys), StructField("item_id", id_type),
+                         *StructType.fromDDL("similarity double, start_word long, n_words long").fields])
     arrow = to_arrow_schema(schema)
     result = None
-    for number in range(passes):
-        shared = spark.sparkContext.broadcast(
-            prepared([tuple(r) for r in items.filter(part == number).collect()]))
-
+    for shared in _passes(benchmark):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items, index = shared.value, None
+            items, index = shared.value, Index(shared.value)
             for batch in batches:
-                found: dict = {}
-                if len(items.ids):
-                    index = index or Index(items)
-                    for at, data, bounds in chunks(batch.column("text"), _TEXT_BYTES):
-                        own: dict = {}
-                        _leaks(words(data, bounds), items, index, own)
-                        found |= {(at + t, item): v for (t, item), v in own.items()}
+                found = _found(batch.column("text"), items, index)
                 rows = pa.array([t for t, _ in found], pa.int64())
                 columns = [batch.column(i).take(rows) for i in range(len(keys))]
                 columns += [pa.array([items.ids[i] for _, i in found], arrow.field("item_id").type),
@@ -230,5 +243,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *keys: str) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; other rows are unchanged."""
-    keyed = with_row_key(docs, "_row")
-    return keyed.join(leaks(keyed, benchmark, "_row").select("_row"), "_row", "left_anti").drop("_row")
+    for shared in _passes(benchmark):
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            items, index = shared.value, Index(shared.value)
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                clean[[t for t, _ in _found(batch.column("text"), items, index)]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

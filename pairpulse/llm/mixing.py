@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pairpulse.llm.common import saved
+from pairpulse.llm.common import saved, unused, with_row_key
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -159,3 +159,15 @@ def mixed_copies(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int
                   F.col("source").eqNullSafe(F.col("_s")))
             .select("key", "source", "size", "source_size", "target",
                     (whole + F.col("up")).cast("int").alias("copies")))
+
+
+def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_COPIES,
+          seed: int = SEED) -> DataFrame:
+    """``docs`` as the mixture takes them: a row goes, stays or is repeated, unchanged."""
+    row, times = unused(docs, "_row"), unused(docs, "_times")
+    keyed = with_row_key(docs, row)
+    copies = mixed_copies(keyed.select(F.col(row).alias("key"), "source", words_of().alias("size")),
+                          weights, most, seed)
+    taken = copies.filter("copies > 0").select(F.col("key").alias(row), F.col("copies").alias(times))
+    return (keyed.join(taken, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+            .select(*docs.columns))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pairpulse.llm.common import components, saved, with_row_key
+from pairpulse.llm.common import components, saved, unused, with_row_key
 from pairpulse.llm.text import bits_of, spanning_forest
 
 SHINGLE_WORDS = 3
@@ -226,8 +226,10 @@ def one_of_each_group(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     Columns and kept rows are unchanged. Of repeated ids the first stored row stays, and
     rows without an id come last in their group.
     """
-    keyed = with_row_key(docs, "_row")
-    grouped = near_duplicates(keyed, "_row", most_bits=most_bits)
-    kept = grouped.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("least"))
-    return (keyed.join(kept.select(F.col("least._row").alias("_row")), "_row", "left_semi")
-            .drop("_row"))
+    row = unused(docs, "_row")
+    keyed = with_row_key(docs, row)
+    grouped = near_duplicates(keyed, row, most_bits=most_bits)
+    kept = (grouped.groupBy("component")
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("least"))
+            .select(F.col("least")[row].alias(row)))
+    return keyed.join(kept, row, "left_semi").drop(row)
