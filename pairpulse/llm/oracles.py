@@ -1,3 +1,99 @@
-"""SQL counterparts of the queries that SQL can express."""
+"""SQL counterparts of the queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+Of the others, language identification, SimHash, MinHash, edit distances over blocks, the
+vector graph, the pattern graph and dependent rounding need hashes or iterations that SQL
+lacks; their tests compare them with brute force.
+"""
+
+# Fixed values, spelled out: the phrases (k = 2) and statements (k = 3) of the license scan.
+_LICENSES = r"""
+WITH template(tid, label, k, base, t) AS (VALUES
+  (0, 'gpl', 2, true, 'gnu general public license'),
+  (1, 'apache', 2, true, 'apache license'),
+  (2, 'cc-by', 2, true, 'cc by'),
+  (3, 'mit', 2, true, 'mit license'),
+  (4, 'gpl-3.0', 3, false, 'this work is licensed under the gnu general public license version 3'),
+  (5, 'gpl-notice', 3, false, 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation'),
+  (6, 'lgpl', 3, false, 'under the terms of the gnu lesser general public license'),
+  (7, 'agpl', 3, false, 'under the terms of the gnu affero general public license'),
+  (8, 'apache-2.0', 3, false, 'licensed under the apache license version 2 0'),
+  (9, 'cc-by-nc-4.0', 3, false, 'licensed under cc by nc 4 0'),
+  (10, 'cc-by-4.0', 3, false, 'licensed under a creative commons attribution 4 0 international license'),
+  (11, 'mit-notice', 3, false, 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files'),
+  (12, 'mit-release', 3, false, 'released under the mit license'),
+  (13, 'bsd', 3, false, 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+  (14, 'mpl-2.0', 3, false, 'this source code form is subject to the terms of the mozilla public license v 2 0'),
+  (15, 'isc', 3, false, 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted'),
+  (16, 'unlicense', 3, false, 'this is free and unencumbered software released into the public domain')),
+split AS (SELECT *, string_split(t, ' ') AS tw FROM template),
+gram AS (
+  SELECT tid, label, k, base, len(tw) - k + 1 AS n, p AS t_pos, array_to_string(tw[p + 1:p + k], ' ') AS g
+  FROM (SELECT *, unnest(range(len(tw) - k + 1)) AS p FROM split)),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+place AS (SELECT r, w, unnest(range(len(w))) AS i FROM doc),
+hit AS (
+  SELECT r, tid, label, base, n, i - t_pos AS diagonal, t_pos
+  FROM place JOIN gram ON gram.k = 2 AND array_to_string(w[i + 1:i + 2], ' ') = g
+  UNION ALL
+  SELECT r, tid, label, base, n, i - t_pos, t_pos
+  FROM place JOIN gram ON gram.k = 3 AND array_to_string(w[i + 1:i + 3], ' ') = g),
+diagonal AS (SELECT DISTINCT r, tid, diagonal FROM hit),
+opened AS (
+  SELECT r, tid, diagonal,
+         CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, tid ORDER BY diagonal) <= 3 AND tid > 3
+              THEN 0 ELSE 1 END AS opens
+  FROM diagonal),
+span AS (SELECT r, tid, diagonal, sum(opens) OVER (PARTITION BY r, tid ORDER BY diagonal) AS s FROM opened),
+found AS (
+  SELECT r, tid, label, base, s, min(diagonal) AS start, count(DISTINCT t_pos) / n AS cover
+  FROM hit JOIN span USING (r, tid, diagonal) GROUP BY r, tid, label, base, n, s),
+verdict AS (
+  SELECT r, count(*) FILTER (base AND cover = 1) AS n_base,
+         min(start) FILTER (base AND cover = 1) AS first_word, max(start) FILTER (base AND cover = 1) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND cover = 1) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label)
+           FILTER ((base AND cover = 1) OR (NOT base AND cover >= 0.6)) AS labels,
+         max(cover) AS score
+  FROM found GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM doc LEFT JOIN verdict USING (r)
+"""
+
+# The checksum is computed byte by byte from a table that follows from its polynomial.
+_SHARDS = r"""
+WITH crc_table AS (
+  SELECT string_agg(printf('%08x', c), '' ORDER BY i) AS crc
+  FROM (SELECT i, list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+                              lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c
+        FROM range(256) t(i))),
+doc AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, md5('20|' || coalesce(doc_id::VARCHAR, 'null')) AS h
+  FROM documents),
+sized AS (
+  SELECT doc_id, source, h, strlen(t) + 1 AS size,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT,
+               list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::UBIGINT)),
+             lambda c, b: xor(c >> 8, ('0x' || substr(crc, 8 * (xor(c, b) & 255)::BIGINT + 1, 8))::UBIGINT)),
+             4294967295::UBIGINT)::BIGINT AS text_crc32
+  FROM doc, crc_table),
+in_source AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) AS k,
+         count(*) OVER (PARTITION BY source) AS n FROM sized),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY (k - 0.5::DOUBLE) / n, source NULLS FIRST, h, doc_id, text_crc32, size) - 1 AS p,
+         count(*) OVER () AS total FROM in_source)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (p * 16 // total)::INTEGER AS shard,
+       (p - ((p * 16 // total) * total + 15) // 16)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_license_scan": _LICENSES,
+    "op5_interleaved_sharding": _SHARDS,
+}
