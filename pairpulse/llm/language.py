@@ -105,7 +105,7 @@ def marginals(emissions: np.ndarray, opens: np.ndarray, transitions: np.ndarray,
     e = np.ones((n_blocks * _BLOCK, k))
     e[:n] = np.exp(emissions - emissions.max(axis=1, keepdims=True))
     e = np.ascontiguousarray(e.reshape(n_blocks, _BLOCK, k).swapaxes(0, 1))
-    new = np.zeros(n_blocks * _BLOCK, bool)
+    new = np.ones(n_blocks * _BLOCK, bool)  # what fills the last block is cut off from the texts
     new[:n] = opens
     new = np.ascontiguousarray(new.reshape(n_blocks, _BLOCK).T)
     a, s = np.exp(transitions), np.exp(start)

@@ -76,8 +76,7 @@ def _fold(units: str, seed: int) -> str:
     nothing = ("cast(null as struct<h: bigint, key: bigint, size: bigint, mass: double>)")
     a, m, b, y = "acc.cur.size", "acc.cur.mass", "x.size", "x.mass"
     rise, fall = f"least({a} - {m}, {y})", f"least({m}, {b} - {y})"
-    coin = (f"shiftrightunsigned(xxhash64(acc.cur.h, x.h, acc.cur.key, x.key, {seed}), 11) "
-            f"/ 9007199254740992D")
+    coin = f"shiftrightunsigned(xxhash64(acc.cur.h, x.h, {seed}), 11) / 9007199254740992D"
     tiny = f"(1e-9 * ({a} + {b}))"
     merge = f"""
     case when acc.cur is null then {state(unit('x', y), 'acc.done')}
@@ -102,7 +101,8 @@ def mixed_copies(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int
                  seed: int = SEED) -> DataFrame:
     """How often each unit is taken so that its source meets its target.
 
-    ``sizes``: ``key`` (long), ``source``, ``size``. A unit of a source with target t and
+    ``sizes``: ``key`` (long), ``source``, ``size`` and, if keys can differ between runs,
+    ``tag`` (long), which then stands for the unit in all random choices. A unit of a source with target t and
     size s is taken t / s times on average: its whole part always, and the fraction is
     rounded by the pivotal method. Units of a source are put into blocks of about
     ``FAN_IN`` by a hash; each block leaves at most one unrounded residual, the residuals
@@ -121,7 +121,7 @@ def mixed_copies(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int
                          F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
               .withColumn("_whole", whole)
               .withColumn("_rest", F.greatest(rate - whole, F.lit(0.0)))
-              .withColumn("_h", F.xxhash64("key", "size", F.lit(seed))))
+              .withColumn("_h", F.xxhash64("tag" if "tag" in sizes.columns else "key", "size", F.lit(seed))))
     splits = (F.col("_rest") > 1e-9) & (F.col("size") > 0)
     place = F.shiftrightunsigned("_h", 11).cast("double") / F.lit(float(1 << 53))
     blocks = F.ceil(F.col("n_units") / FAN_IN)
@@ -163,10 +163,14 @@ def mixed_copies(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_COPIES,
           seed: int = SEED) -> DataFrame:
-    """``docs`` as the mixture takes them: a row goes, stays or is repeated, unchanged."""
+    """``docs`` as the mixture takes them: a row goes, stays or is repeated, unchanged.
+
+    Choices depend on ids and texts, not on where rows are stored, so reruns agree.
+    """
     row, times = unused(docs, "_row"), unused(docs, "_times")
     keyed = with_row_key(docs, row)
-    copies = mixed_copies(keyed.select(F.col(row).alias("key"), "source", words_of().alias("size")),
+    copies = mixed_copies(keyed.select(F.col(row).alias("key"), "source", words_of().alias("size"),
+                                       F.xxhash64("doc_id", "text").alias("tag")),
                           weights, most, seed)
     taken = copies.filter("copies > 0").select(F.col("key").alias(row), F.col("copies").alias(times))
     return (keyed.join(taken, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))

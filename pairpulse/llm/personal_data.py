@@ -28,20 +28,30 @@ WINDOW = 40
 LEAST_SEEDS, LEAST_PATTERNS, LEAST_SCORE = 3, 2, 0.8
 ROUNDS = 3
 
-_SPAN = "struct<kind: string, rank: int, start: int, stop: int, hit: string>"
+_SPAN = "struct<kind: string, rank: int, start: int, stop: int, hit: string, before: string, after: string>"
 
 
 def _placed(text: str, pattern: str, kind: str, rank: int) -> str:
-    """SQL for the matches of a pattern with their places, from the gaps between them."""
+    """SQL for the matches of a pattern with their places and what stands beside them.
+
+    Places are running sums over matches and the gaps between them. They are folded in
+    blocks of the square root of their number, as arrays grow by copying.
+    """
     literal = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    pieces = (f"zip_with(regexp_extract_all({text}, '{literal}', 0), split({text}, '{literal}', -1), "
-              "(hit, gap) -> named_struct('hit', hit, 'gap', length(gap)))")
-    return (f"aggregate({pieces}, named_struct('at', 0, 'found', cast(array() as array<{_SPAN}>)), "
-            "(acc, x) -> named_struct("
-            "'at', acc.at + x.gap + coalesce(length(x.hit), 0), "
-            f"'found', case when x.hit is null then acc.found else concat(acc.found, array(named_struct("
-            f"'kind', '{kind}', 'rank', {rank}, 'start', acc.at + x.gap, "
-            "'stop', acc.at + x.gap + length(x.hit), 'hit', x.hit))) end), acc -> acc.found)")
+    pieces = (f"transform(p.hits, (hit, i) -> named_struct('hit', hit, 'gap', length(p.gaps[i]), "
+              f"'before', right(concat(coalesce(right(get(p.hits, i - 1), {WINDOW}), ''), right(p.gaps[i], {WINDOW})), {WINDOW}), "
+              f"'after', left(concat(left(p.gaps[i + 1], {WINDOW}), coalesce(left(get(p.hits, i + 1), {WINDOW}), '')), {WINDOW})))")
+    empty = f"cast(array() as array<{_SPAN}>)"
+    inner = (f"aggregate(slice(q, 1 + k * b, b), named_struct('at', acc.at, 'found', {empty}), (own, x) -> named_struct("
+             "'at', own.at + x.gap + length(x.hit), 'found', concat(own.found, array(named_struct("
+             f"'kind', '{kind}', 'rank', {rank}, 'start', own.at + x.gap, 'stop', own.at + x.gap + length(x.hit), "
+             "'hit', x.hit, 'before', x.before, 'after', x.after)))))")
+    folded = (f"aggregate(sequence(0, size(q) div b), named_struct('at', 0, 'found', {empty}), (acc, k) -> "
+              f"transform(array({inner}), r -> named_struct('at', r.at, 'found', concat(acc.found, r.found)))[0], "
+              "acc -> acc.found)")
+    blocked = f"transform(array(cast(ceil(sqrt(size(q) + 1)) as int)), b -> {folded})[0]"
+    return (f"transform(array(named_struct('hits', regexp_extract_all({text}, '{literal}', 0), "
+            f"'gaps', split({text}, '{literal}', -1))), p -> transform(array({pieces}), q -> {blocked})[0])[0]")
 
 
 _OCTET = ("forall(split({m}, '[.]'), p -> case when length(regexp_replace(p, '^0+', '')) > 3 then false "
@@ -72,27 +82,28 @@ def base_spans(text: str) -> Column:
 
 def _tokens(text: str, base: str) -> Column:
     """Tokens that may be identifiers and share nothing with a base span, without punctuation."""
-    head, tail = (x.replace("\\", "\\\\") for x in (_HEAD, _TAIL))
-    trimmed = (f"transform({_placed(text, _TOKEN, CONTEXT_KIND, len(PATTERNS))}, s -> named_struct("
-               f"'kind', s.kind, 'rank', s.rank, "
-               f"'start', s.start + length(s.hit) - length(regexp_replace(s.hit, '{head}', '')), "
+    head, tail, email, ip = (x.replace("\\", "\\\\") for x in (_HEAD, _TAIL, PATTERNS["email"], PATTERNS["ip"]))
+    plain = (f"filter({_placed(text, _TOKEN, CONTEXT_KIND, len(PATTERNS))}, "
+             f"s -> not s.hit rlike '{email}' and not s.hit rlike '{ip}')")
+    bare = f"regexp_replace(s.hit, '{head}', '')"
+    trimmed = (f"transform({plain}, s -> named_struct('kind', s.kind, 'rank', s.rank, "
+               f"'start', s.start + length(s.hit) - length({bare}), "
                f"'stop', s.stop - length(s.hit) + length(regexp_replace(s.hit, '{tail}', '')), "
-               f"'hit', regexp_replace(regexp_replace(s.hit, '{head}', ''), '{tail}', '')))")
-    return F.expr(f"case when {text} rlike '[0-9@]' then filter({trimmed}, s -> length(s.hit) >= 4 "
-                  f"and not exists({base}, b -> b.start < s.stop and s.start < b.stop)) "
+               f"'hit', regexp_replace({bare}, '{tail}', ''), 'before', s.before, 'after', s.after))")
+    spread = f"filter({base}, s -> s.rank >= 2)"
+    return F.expr(f"case when {text} rlike '[0-9@]' then transform(array({spread}), w -> filter({trimmed}, s -> "
+                  f"length(s.hit) >= 4 and not exists(w, b -> b.start < s.stop and s.start < b.stop)))[0] "
                   f"else cast(array() as array<{_SPAN}>) end")
 
 
-def _in_context(text: str, spans: str) -> Column:
+def _in_context(spans: str) -> Column:
     """Spans with the words before and after them, lower case, digits as 0."""
     def word(piece: str, pattern: str) -> str:
         return f"regexp_replace(lower(regexp_extract({piece}, '{pattern}', 1)), '[0-9]', '0')"
 
-    left = word(f"substring({text}, greatest(1, s.start - {WINDOW - 1}), least({WINDOW}, s.start))",
-                r"(\\S+)\\s*$")
-    right = word(f"substring({text}, s.stop + 1, {WINDOW})", r"^\\S*\\s+(\\S+)")
     return F.expr(f"transform({spans}, s -> named_struct('kind', s.kind, 'rank', s.rank, 'start', s.start, "
-                  f"'stop', s.stop, 'instance', xxhash64(lower(s.hit)), 'left', {left}, 'right', {right}))")
+                  f"'stop', s.stop, 'instance', xxhash64(lower(s.hit)), "
+                  f"'left', {word('s.before', r"(\\S+)\\s*$")}, 'right', {word('s.after', r"^\\S*\\s+(\\S+)")}))")
 
 
 def discovered(entities: DataFrame) -> DataFrame:
@@ -142,8 +153,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     found = (with_row_key(docs, "_row").select("_row", "doc_id", text.alias("_t"))
              .withColumn("_base", base_spans("_t")).withColumn("_more", _tokens("_t", "_base"))
-             .select("_row", "doc_id", _in_context("_t", "_base").alias("base"),
-                     _in_context("_t", "_more").alias("more")))
+             .select("_row", "doc_id", _in_context("_base").alias("base"),
+                     _in_context("_more").alias("more")))
     found = saved(found)
     entities = found.select(F.explode(F.concat("base", "more")).alias("e")).select("e.*")
     told = discovered(entities)
