@@ -24,23 +24,13 @@ INDEX_COLUMNS = ["event_date", "Actor1CountryCode", "Actor2CountryCode", "Actor1
 _ARCHIVE = "path string, content binary"
 
 
-def month_files(events: DataFrame) -> DataFrame:
-    """All events, with the day of event and file set to the first of its month.
-
-    Queries that write files use this: the test tables span 2,500 days, and a folder per
-    day with a handful of rows would measure the file system only.
-    """
-    out = events.withColumn("input_file_date", F.trunc("input_file_date", "month"))
-    return out.withColumn("Day", (F.expr("Day DIV 100") * 100 + 1).cast("int"))
-
-
 def event_lines(spark: SparkSession, sf_dir: str, planted: bool = False) -> DataFrame:
-    """``slot, line``: every event as a raw line of the first slot of its file month.
+    """``slot, line``: every event as a raw line of the first slot of its file date.
 
     With ``planted``, the id decides on an irregularity: 1 of 50 lines lacks its last two
     fields, 1 has one too many, 1 has a quote at the start of a field.
     """
-    events = month_files(star_events(spark, sf_dir))
+    events = star_events(spark, sf_dir)
     case = F.col("GlobalEventID") % 50
     fields = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n in schema.RAW.names}
     if planted:
@@ -57,7 +47,8 @@ def event_lines(spark: SparkSession, sf_dir: str, planted: bool = False) -> Data
 
 def write_landing(lines: DataFrame, path: str) -> str:
     """One folder per slot; the readers take the date from the path."""
-    lines.hint("rebalance", "slot").write.partitionBy("slot").text(path)
+    (lines.hint("rebalance", "slot").write.partitionBy("slot")
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path))
     return path
 
 
@@ -79,6 +70,23 @@ def pack_archives(lines: DataFrame) -> DataFrame:
     return ordered.mapInPandas(_pack, _ARCHIVE)
 
 
+def _damage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        content = []
+        for path, data in zip(batch["path"], batch["content"]):
+            broken = bytearray(data)
+            if path[6:8] == "13":
+                # The compressed bytes stand between the names, at the front and the end.
+                broken[len(broken) // 2] ^= 0xFF
+            content.append(bytes(broken))
+        yield batch.assign(content=content)
+
+
+def damage_archives(archives: DataFrame) -> DataFrame:
+    """Flip a byte in the middle of every archive of the 13th of a month."""
+    return archives.mapInPandas(_damage, _ARCHIVE)
+
+
 def planted_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw strings in which some numbers are not numbers."""
     case = F.col("GlobalEventID") % 40

@@ -19,9 +19,8 @@ def _country(key: str) -> str:
         WHEN {key} IN (20, 22, 24) THEN 'JPN' WHEN {key} = 21 THEN 'AUS' END"""
 
 
-def _bronze(month_files: bool = False) -> str:
-    """The event view over the star schema; ``month_files`` moves the day of event and
-    file to the first of its month."""
+def _bronze() -> str:
+    """The event view over the star schema."""
     known = {
         "GlobalEventID": "l_orderkey * 8 + l_linenumber",
         "Day": "year(ship) * 10000 + month(ship) * 100 + day(ship)",
@@ -50,9 +49,6 @@ def _bronze(month_files: bool = False) -> str:
         "SOURCEURL": "'src/' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR)",
         "input_file_date": "file_date",
     }
-    if month_files:
-        known["Day"] = "year(ship) * 10000 + month(ship) * 100 + 1"
-        known["input_file_date"] = "date_trunc('month', file_date)"
     for place in ("Actor1", "Actor2", "Action"):
         known[f"{place}Geo_Type"] = "1"
         known[f"{place}Geo_Lat"] = "(l_suppkey % 361 - 180) * 0.25::DOUBLE"
@@ -111,7 +107,6 @@ silver AS (
 
 _SILVER = _dedup(["input_file_date", "GlobalEventID"])
 _SILVER_GLOBAL = _dedup(["GlobalEventID"])
-_SILVER_MONTH_FILES = _dedup(["input_file_date", "GlobalEventID"], _clean(_bronze(month_files=True)))
 
 _COUNTS = {
     "total_events": "count(*)",
@@ -241,7 +236,7 @@ planted AS (
   FROM bronze
 )"""
 
-_PLANTED_LINES = f"""WITH {_bronze(month_files=True)}
+_PLANTED_LINES = f"""WITH {_bronze()}
 SELECT GlobalEventID, Day, FractionDate,
   CASE WHEN GlobalEventID % 50 = 3 THEN '"' || Actor1Name ELSE Actor1Name END AS Actor1Name,
   Actor1CountryCode, Actor2CountryCode, Actor2Type1Code, GoldsteinScale, AvgTone, ActionGeo_Long,
@@ -269,9 +264,10 @@ _ALL_SILVER = f"WITH {_SILVER} SELECT * FROM silver"
 _ALL_GOLD = f"WITH {_GOLD} SELECT {_GOLD_LIST} FROM gold"
 
 
-def _backfill_gold(silver: str) -> str:
-    return f"""WITH {silver},
-{_PLAN},
+def _backfill_gold(landed: str) -> str:
+    """``landed``: the rows whose file dates have been loaded."""
+    return f"""WITH {_SILVER},
+{_PLAN.replace("FROM bronze", f"FROM {landed}")},
 seen AS (SELECT * FROM silver WHERE input_file_date <= last_day(event_date)),
 seen_months AS (
   SELECT {_MONTH} AS year_month, count(DISTINCT event_date) AS days_present FROM seen GROUP BY ALL
@@ -349,14 +345,15 @@ SELECT file_date, count(*) AS expected_slots, count(arrived.slot) AS arrived_slo
 FROM expected LEFT JOIN arrived ON expected.slot = arrived.slot GROUP BY file_date""",
     "tsv_roundtrip": _PLANTED_LINES,
     "zip_roundtrip": _PLANTED_LINES,
+    "damaged_archives": f"{_PLANTED_LINES} WHERE day(input_file_date) <> 13",
     "bronze_cast": f"""WITH {_PLANTED_BRONZE}
 SELECT GlobalEventID, Day, NumMentions, NumSources, GoldsteinScale, AvgTone, Actor1Geo_Lat,
   FractionDate, QuadClass, SOURCEURL, input_file_date FROM planted""",
-    "bronze_replay": f"WITH {_bronze(month_files=True)} SELECT * FROM bronze",
+    "bronze_replay": f"WITH {_bronze()} SELECT * FROM bronze",
     "silver_latest_file_wins": f"""WITH {_SILVER}
 SELECT * FROM silver
 QUALIFY input_file_date = max(input_file_date) OVER (PARTITION BY event_date)""",
-    "silver_replay": f"WITH {_SILVER_MONTH_FILES} SELECT * FROM silver",
+    "silver_replay": f"WITH {_SILVER} SELECT * FROM silver",
     "gold_replay": _ALL_GOLD,
     "z_key": f"""WITH {_SILVER},
 ids AS (
@@ -385,9 +382,9 @@ folded AS (SELECT input_file_date, GlobalEventID, count(*) AS copies FROM clean
     "quality_gold": f"WITH {_GOLD} " + _report(_GOLD_CHECKS, "gold"),
     "quality_gold_planted": f"WITH {_PLANTED_GOLD} " + _report(_GOLD_CHECKS, "planted"),
     "backfill_plan": f"WITH {_bronze()}, {_PLAN} SELECT * FROM plan",
-    "backfill_gold": _backfill_gold(_SILVER),
-    "backfill_tables": _backfill_gold(_SILVER_MONTH_FILES),
-    "stream_silver": f"WITH {_SILVER_MONTH_FILES} SELECT * FROM silver",
+    "backfill_gold": _backfill_gold("bronze"),
+    "backfill_tables": _backfill_gold("silver"),
+    "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
     "affected_months": f"WITH {_SILVER} SELECT DISTINCT input_file_date, {_MONTH} AS year_month FROM silver",
     "country_names": f"""WITH {_GOLD},
 {_NAMES}

@@ -111,7 +111,8 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_latest_file_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.latest_file_wins(silver_events(spark, sf_dir))
+    dates = _silver(spark, sf_dir, "input_file_date", "event_date")
+    return silver.latest_file_wins(silver_events(spark, sf_dir), dates)
 
 
 def z_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,6 +219,13 @@ def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(lines.read_tsv(spark, landing), diagnostics=True).select(*_ROUNDTRIP)
 
 
+def damaged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all archives but those of the 13th of a month, in which a byte has flipped."""
+    archives = fx.damage_archives(fx.pack_archives(fx.event_lines(spark, sf_dir, planted=True)))
+    rows = to_bronze(lines.unpack_archives(archives), diagnostics=True)
+    return rows.filter(F.col(schema.READ_ERROR).isNull()).select(*_ROUNDTRIP)
+
+
 def zip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = fx.pack_archives(fx.event_lines(spark, sf_dir, planted=True))
     return to_bronze(lines.unpack_archives(archives), diagnostics=True).select(*_ROUNDTRIP)
@@ -273,8 +281,7 @@ def _overlapping(events: DataFrame) -> list[Days]:
 
 def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark)
-    events = fx.month_files(star_events(spark, sf_dir)).withColumn(
-        "ingested_at", F.lit(_LOADED).cast("timestamp"))
+    events = star_events(spark, sf_dir).withColumn("ingested_at", F.lit(_LOADED).cast("timestamp"))
     with staged(events, "bronze_replay") as rows:
         for days in _overlapping(rows):
             publish(rows.filter(days.contains(F.col("input_file_date"))), lake.bronze)
@@ -282,16 +289,16 @@ def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First every row goes in with its event a day early, then as it should be. Only
-    the second version may remain."""
+    """The first range goes in with its events a day early, then both as they should be.
+    Only the second version may remain."""
     lake = _new_lake(spark)
-    bronze = fx.month_files(star_events(spark, sf_dir, fx.BRONZE_FOR_SILVER))
+    bronze = star_events(spark, sf_dir, fx.BRONZE_FOR_SILVER)
     right = silver.to_silver(bronze, CFG).withColumn("ingested_at", F.lit(_LOADED).cast("timestamp"))
     with staged(right, "silver_replay") as rows:
         wrong = rows.withColumn("event_date", F.date_sub("event_date", 1))
-        lo, _, end = _file_range(rows)
-        publish_silver(wrong, lake.silver, Days(lo, end), CFG)
-        for days in _overlapping(rows):
+        first, second = _overlapping(rows)
+        publish_silver(wrong.filter(first.contains(F.col("input_file_date"))), lake.silver, first, CFG)
+        for days in (first, second):
             publish_silver(rows.filter(days.contains(F.col("input_file_date"))), lake.silver, days, CFG)
     return lake.silver.read(spark).drop("ingested_at")
 
@@ -306,12 +313,14 @@ def gold_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, Days]:
-    """All events as landed files, and the days that have any."""
-    with staged(fx.event_lines(spark, sf_dir), "landing_lines") as rows:
-        path = fx.write_landing(rows, new_scratch_path(spark, "landing"))
+    """Every event of the days that have one between focus countries, as landed files, and
+    these days. On any other day the load stops, as it has to."""
+    with staged(_silver(spark, sf_dir, "input_file_date").distinct(), "landing_days") as days:
+        slot = F.concat(F.date_format("input_file_date", "yyyyMMdd"), F.lit("000000.export.CSV"))
+        lines = fx.event_lines(spark, sf_dir).join(days.select(slot.alias("slot")), "slot", "left_semi")
+        path = fx.write_landing(lines.select("slot", "line"), new_scratch_path(spark, "landing"))
         # One row per day of the landing area.
-        found = [dt.datetime.strptime(r.slot[:8], "%Y%m%d").date()
-                 for r in rows.select("slot").distinct().collect()]
+        found = [r.input_file_date for r in days.collect()]
     return path, Days.of(found)
 
 
@@ -333,10 +342,6 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- serving --------------------------------------------------------------------------
 
-def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.with_country_names(_index(spark, sf_dir), CFG)
-
-
 def country_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a map that lacks one code that occurs."""
     short = replace(CFG, country_names={c: n for c, n in CFG.country_names.items() if c != "TWN"})
@@ -346,17 +351,24 @@ def country_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_pickers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = _named(spark, sf_dir)
+    codes = _silver(spark, sf_dir, "Actor1CountryCode", "Actor2CountryCode").distinct()
+    named = serving.with_country_names(codes, CFG)
     return (serving.country_choices(named, "source").withColumn("side", F.lit("source"))
             .union(serving.country_choices(named, "target").withColumn("side", F.lit("target"))))
 
 
+def _pair_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of one pair: silver is cut to it before anything is aggregated."""
+    rows = serving.for_pair(_silver(spark, sf_dir, *fx.INDEX_COLUMNS), CFG, *PAIR)
+    return serving.with_country_names(gold.monthly_index(rows, CFG), CFG)
+
+
 def pair_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.pair_series(_named(spark, sf_dir), *PAIR)
+    return serving.pair_series(_pair_named(spark, sf_dir), *PAIR)
 
 
 def pair_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.pair_detail(_named(spark, sf_dir), *PAIR)
+    return serving.pair_detail(_pair_named(spark, sf_dir), *PAIR)
 
 
 def gold_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "slot_arrivals": slot_arrivals,
     "tsv_roundtrip": tsv_roundtrip,
     "zip_roundtrip": zip_roundtrip,
+    "damaged_archives": damaged_archives,
     "bronze_cast": bronze_cast,
     "bronze_replay": bronze_replay,
     "silver_latest_file_wins": silver_latest_file_wins,

@@ -50,7 +50,6 @@ OUTAGE_FIRST, OUTAGE_LAST = dt.date(2025, 6, 15), dt.date(2025, 7, 1)
 
 # A slot file is <prefix>yyyyMMddHHmmss<suffix>, one per quarter of an hour.
 SLOT_SUFFIX = ".export.CSV.zip"
-SLOTS_PER_DAY = 96
 
 
 def outage_days() -> tuple[dt.date, ...]:

@@ -38,6 +38,14 @@ def country_choices(named: DataFrame, side: str) -> DataFrame:
             .orderBy(F.col("country").asc_nulls_last()))
 
 
+def for_pair(rows: DataFrame, cfg: EngineConfig, source: str, target: str) -> DataFrame:
+    """Rows of one ordered pair of readable names, by code: a filter that reaches the scan
+    of silver or of the index, which are laid out by code."""
+    codes = [[c for c, n in cfg.country_names.items() if n == name] for name in (source, target)]
+    return rows.filter(F.col("Actor1CountryCode").isin(codes[0])
+                       & F.col("Actor2CountryCode").isin(codes[1]))
+
+
 def select_pair(named: DataFrame, source: str, target: str) -> DataFrame:
     """Months of one ordered pair, oldest first."""
     return (named.filter((F.col("source_country") == source) & (F.col("target_country") == target))

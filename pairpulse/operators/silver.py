@@ -104,17 +104,17 @@ def has_duplicates(events: DataFrame, cfg: EngineConfig) -> bool:
     return not duplicate_ids(events, cfg).isEmpty()
 
 
-def latest_file_wins(silver: DataFrame) -> DataFrame:
+def latest_file_wins(silver: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Per event date only the rows of the last file date that touched it.
 
-    This is what remains when every file date overwrites whole event dates. The right
-    side has one row per calendar day that occurs: event dates come from eight digits,
-    so it cannot exceed 3.7 million rows however large the data is, and it is
-    broadcast. A window over event dates would gather a hot date in one task.
+    This is what remains when every file date overwrites whole event dates. ``dates`` are
+    the same rows with their two dates only, so that wide rows are computed once. The
+    right side has one row per calendar day that occurs, so measured sizes normally make
+    the join a broadcast. A window over event dates would gather a hot date in one task.
     """
-    latest = (silver.groupBy(F.col("event_date").alias("d"))
+    latest = ((silver if dates is None else dates).groupBy(F.col("event_date").alias("d"))
               .agg(F.max("input_file_date").alias("last")))
     return silver.join(
-        F.broadcast(latest),
+        latest,
         (F.col("event_date") == F.col("d")) & (F.col("input_file_date") == F.col("last")),
         "left_semi")

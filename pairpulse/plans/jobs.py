@@ -23,19 +23,30 @@ def days_frame(spark: SparkSession, days: Days) -> DataFrame:
     return all_days.filter(days.contains(F.col("day")))
 
 
-def check_arrivals(spark: SparkSession, landing: str, days: Days, cfg: EngineConfig) -> DataFrame:
-    """Arrival report of the days; raises when a day has no file at all."""
+def check_arrivals(spark: SparkSession, landing: str, days: Days, cfg: EngineConfig,
+                   archives: bool | None = None) -> DataFrame:
+    """Arrival report of the days; raises when a day has no file of the format to be read."""
     report = slots.arrivals_per_day(
         slots.expected_slots(days_frame(spark, days), cfg),
-        slots.landed_slots(spark, landing, cfg, days))
+        slots.landed_slots(spark, landing, cfg, days, archives))
     slots.require_arrivals(report)
     return report
 
 
+def require_every_day(rows: DataFrame, days: Days, layer: str) -> None:
+    """Raise with every day of the range that has no row, as a run of that day would.
+    What is read here is days."""
+    without = (days_frame(rows.sparkSession, days)
+               .join(rows.select(F.col("input_file_date").alias("day")).distinct(), "day", "left_anti"))
+    found = [str(r.day) for r in without.orderBy("day").collect()]
+    if found:
+        raise quality.QualityError(f"{layer}: no rows for {', '.join(found)}")
+
+
 def run_bronze(spark: SparkSession, lake: Lake, landing: str, days: Days, archives: bool = False,
                quote: str = "", ingested_at: dt.datetime | None = None) -> dict[str, int]:
     """Landed files -> bronze partitions of their file dates."""
-    check_arrivals(spark, landing, days, lake.cfg)
+    check_arrivals(spark, landing, days, lake.cfg, archives)
     read = lines.read_archives if archives else lines.read_tsv
     rows = to_bronze(read(spark, landing, days, quote), ingested_at=ingested_at, diagnostics=True)
     with staged(rows, "bronze") as kept:
@@ -44,6 +55,7 @@ def run_bronze(spark: SparkSession, lake: Lake, landing: str, days: Days, archiv
         found = quality.enforce(report, "bronze", () if single else ("extra_file_dates",))
         loaded = kept.filter(F.col(schema.READ_ERROR).isNull()).select(*schema.BRONZE.names)
         quality.check_columns(loaded, schema.BRONZE, "bronze")
+        require_every_day(loaded, days, "bronze")
         publish(loaded, lake.bronze)
     return found
 
@@ -57,6 +69,7 @@ def run_silver(spark: SparkSession, lake: Lake, days: Days) -> dict[str, int]:
         single = days.end - days.start == dt.timedelta(days=1)
         found = quality.enforce(quality.silver_report(kept, days), "silver",
                                 () if single else ("extra_file_dates",))
+        require_every_day(kept, days, "silver")
         publish_silver(kept, lake.silver, days, lake.cfg)
     return found
 
@@ -96,6 +109,9 @@ def run_gold(spark: SparkSession, lake: Lake, due: dict[dt.date, bool],
         return []
     silver = lake.silver.read(spark).filter(
         within_months(F.col("event_date"), min(due), _month_after(max(due))))
+    if as_of_month_end:
+        # No later file counts, so their directories are not opened.
+        silver = silver.filter(F.col("input_file_date") < F.lit(_month_after(max(due))))
     # Checked in 64 bits, so that an overflow is a finding and not a failed cast.
     wide = replace(lake.cfg, measure_type="bigint")
     rows = index_for(silver, due_frame(spark, due), wide, as_of_month_end, ingested_at)
@@ -113,5 +129,6 @@ def run_gold(spark: SparkSession, lake: Lake, due: dict[dt.date, bool],
         quality.enforce(quality.gold_report(kept), "gold", ignore)
         final = kept.select(*[
             F.col(f.name).cast(f.dataType).alias(f.name) for f in lake.gold.schema])
+        quality.check_columns(final, lake.gold.schema, "gold")
         publish(final, lake.gold)
     return sorted(built)

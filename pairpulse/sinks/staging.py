@@ -8,28 +8,19 @@ was already staged.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. Only a single-machine
-    session may go without; it gets one temporary folder per process."""
-    global _local_root
+    """The shared folder named by ``spark.checkpoint.dir``; without it, one below the
+    warehouse, which all executors share too."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="pairpulse-")
-    return _local_root
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def new_scratch_path(spark: SparkSession, label: str) -> str:

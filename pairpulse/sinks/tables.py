@@ -1,9 +1,9 @@
 """Table definitions and idempotent publication.
 
 * bronze: partitioned by file date; a load replaces the partitions it has rows for;
-* silver: partitioned by file date, then event date; a load replaces *all* rows of the
-  file dates it covers and nothing else, so late events from one file never remove
-  what other files said about the same day;
+* silver: partitioned by file date, event date leading the order of its rows; a load
+  replaces *all* rows of the file dates it covers and nothing else, so late events from
+  one file never remove what other files said about the same day;
 * gold: partitioned by month; a load replaces the months it has rows for.
 """
 
@@ -66,7 +66,7 @@ class Lake:
     @property
     def silver(self) -> Table:
         return Table(f"{self.prefix}silver.events", schema.SILVER,
-                     ("input_file_date", "event_date"),
+                     ("input_file_date",),
                      "Clean events between focus countries, one row per id and file date.")
 
     @property
@@ -134,21 +134,19 @@ def partition_values(spark: SparkSession, table: Table) -> DataFrame:
 def publish_silver(silver: DataFrame, table: Table, days: Days, cfg: EngineConfig) -> int:
     """Replace exactly the rows of the file dates ``days``; returns dropped partitions.
 
-    The insert replaces the (file date, event date) directories that have rows now; then
-    those of the same file dates that have none are dropped. A failure between the two
-    steps leaves directories that the next run of the same days removes.
+    The insert replaces the directories of file dates that have rows now. Those of the
+    days that have none are dropped after it; the jobs never get there, as they stop at
+    a day without rows. Event date leads the order, so row groups skip on it.
 
-    ``silver`` should be staged: its partition pairs are read a second time.
+    ``silver`` should be staged: its file dates are read a second time.
     """
     spark = silver.sparkSession
-    keys = list(table.partitioned_by)
-    _insert(clustered(silver, cfg, keys), table)
-    written = silver.select(*keys).distinct()
-    stale = (partition_values(spark, table).filter(days.contains(F.col("input_file_date")))
-             .join(written, keys, "left_anti"))
-    # One row per directory to drop: bounded by the days covered, not by the data.
-    specs = ["PARTITION (" + ", ".join(f"{k}=DATE'{r[k]}'" for k in keys) + ")"
-             for r in stale.collect()]
+    key = "input_file_date"
+    _insert(clustered(silver, cfg, [key, "event_date"]), table)
+    stale = (partition_values(spark, table).filter(days.contains(F.col(key)))
+             .join(silver.select(key).distinct(), key, "left_anti"))
+    # One row per day to drop: bounded by the days covered, not by the data.
+    specs = [f"PARTITION ({key}=DATE'{r[key]}')" for r in stale.collect()]
     for i in range(0, len(specs), 500):
         spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS " + ", ".join(specs[i:i + 500]))
     return len(specs)

@@ -20,6 +20,9 @@ from pairpulse.functions.dates import Days, path_in_days
 _CORRUPT = "_corrupt_record"
 _PARSED = T.StructType(schema.RAW.fields + [T.StructField(_CORRUPT, T.StringType())])
 _LINES_PER_BATCH = 8192
+_BLOCK = 1 << 20
+# Spark's limit for the content of one binary file.
+MAX_ARCHIVE_BYTES = 2**31 - 1 - 1024
 _LINES = "source_path string, line string, read_error string"
 
 
@@ -50,26 +53,39 @@ def read_tsv(spark: SparkSession, landing: str, days: Days | None = None,
 
 
 def list_archives(spark: SparkSession, landing: str, days: Days | None = None) -> DataFrame:
-    """``path, content`` of every archive below ``landing``."""
+    """``path, content`` of every archive below ``landing``; no content if it is too large."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.zip").load(landing))
     if days is not None:
         files = files.filter(path_in_days(F.col("_metadata.file_path"), days))
-    return files.select("path", "content")
+    # A pushed filter on the length keeps the content of larger files from being read.
+    fits = F.col("length") <= MAX_ARCHIVE_BYTES
+    return files.filter(fits).select("path", "content").unionByName(
+        files.filter(~fits).select("path", F.lit(None).cast("binary").alias("content")))
 
 
 def _frame(path: str, lines: list[str | None], error: str | None = None) -> pd.DataFrame:
     return pd.DataFrame({"source_path": path, "line": lines, "read_error": error})
 
 
-def _lines_of(path: str, content: bytes) -> Iterator[pd.DataFrame]:
-    """First .CSV member in bounded batches; one error row if it cannot be read."""
+def _lines_of(path: str, content: bytes | None) -> Iterator[pd.DataFrame]:
+    """First .CSV member in bounded batches; one error row if it cannot be read.
+
+    The member is inflated twice: once to the end, which verifies its checksum, and only
+    then to give its lines. A damaged archive therefore gives no line at all.
+    """
+    if content is None:
+        yield _frame(path, [None], f"larger than {MAX_ARCHIVE_BYTES} bytes")
+        return
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             members = [n for n in archive.namelist() if n.endswith(".CSV")]
             if not members:
                 yield _frame(path, [None], "no .CSV member")
                 return
+            with archive.open(members[0]) as raw:
+                while raw.read(_BLOCK):
+                    pass
             with archive.open(members[0]) as raw:
                 batch: list[str | None] = []
                 for line in io.TextIOWrapper(raw, "utf-8", errors="replace"):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pairpulse.config import SLOT_SUFFIX, SLOTS_PER_DAY, EngineConfig
+from pairpulse.config import SLOT_SUFFIX, EngineConfig
 from pairpulse.functions.dates import Days, file_date, path_in_days, slot_digits
 
 
@@ -26,13 +26,16 @@ def expected_slots(days: DataFrame, cfg: EngineConfig, day: str = "day") -> Data
             .select("file_date", slot_name(cfg, F.col("slot_time")).alias("slot")))
 
 
-def landed_slots(spark: SparkSession, landing: str, cfg: EngineConfig,
-                 days: Days | None = None) -> DataFrame:
-    """Slots present in the landing area. Reads the listing, never the content."""
+def landed_slots(spark: SparkSession, landing: str, cfg: EngineConfig, days: Days | None = None,
+                 archives: bool | None = None) -> DataFrame:
+    """Slots present in the landing area: as archives, as plain files, or (None) either.
+    Reads the listing, never the content."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing))
     path = F.col("_metadata.file_path")
     if days is not None:
         files = files.filter(path_in_days(path, days))
+    if archives is not None:
+        files = files.filter(path.endswith(".zip") if archives else ~path.endswith(".zip"))
     stamped = files.select(path.alias("path")).select(
         file_date(F.col("path")).alias("file_date"), slot_digits(F.col("path")).alias("digits"))
     return (stamped.filter(F.col("file_date").isNotNull()).distinct()
@@ -57,10 +60,6 @@ def arrivals_per_day(expected: DataFrame, arrived: DataFrame) -> DataFrame:
 def require_arrivals(arrivals: DataFrame) -> None:
     """Partial days pass; a day without any file does not. The rows read here are days."""
     empty = [str(r.file_date) for r in
-             arrivals.filter("arrived_slots = 0").orderBy("file_date").limit(20).collect()]
+             arrivals.filter("arrived_slots = 0").orderBy("file_date").collect()]
     if empty:
         raise NoInputError(f"no file arrived for {', '.join(empty)}")
-
-
-__all__ = ["SLOTS_PER_DAY", "NoInputError", "arrivals_per_day", "expected_slots",
-           "landed_slots", "missing_slots", "require_arrivals", "slot_name"]

@@ -97,9 +97,3 @@ def star_events(spark: SparkSession, sf_dir: str,
         rows = rows.join(table("part"), F.expr("l_partkey = p_partkey"), "left")
     kinds = {f.name: f.dataType.simpleString() for f in schema.BRONZE}
     return rows.selectExpr(*[f"CAST({e} AS {kinds[n]}) AS {n}" for n, e in wanted.items()])
-
-
-def as_raw_lines(events: DataFrame) -> DataFrame:
-    """The 61 fields as the strings a raw file would hold."""
-    return events.select(*[F.col(n).cast(T.StringType()).alias(n) for n in schema.RAW.names],
-                         *[c for c in events.columns if c == "input_file_date"])

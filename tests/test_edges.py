@@ -119,6 +119,28 @@ def test_long_archive_is_read_in_batches(spark, tmp_path):
     assert out.agg(F.count_distinct("GlobalEventID")).first()[0] == n
 
 
+@pytest.mark.parametrize("n", [1, 5000, 8192, 8193, 20_000])
+def test_a_damaged_archive_gives_no_line(spark, tmp_path, n):
+    land(tmp_path, DAY, [line(GlobalEventID=i) for i in range(n)], archive=True)
+    land(tmp_path, DAY, [line(GlobalEventID=-1)], 1, archive=True)
+    path = tmp_path / "20250110000000.export.CSV.zip"
+    data = bytearray(path.read_bytes())
+    data[len(data) // 2] ^= 0xFF
+    path.write_bytes(bytes(data))
+    raw = lines.read_archives(spark, str(tmp_path))
+    assert raw.filter("read_error IS NOT NULL").count() == 1
+    assert rows(to_bronze(raw.filter("read_error IS NULL")), "GlobalEventID") == [(-1,)]
+
+
+def test_an_archive_too_large_is_an_error_of_its_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lines, "MAX_ARCHIVE_BYTES", 1000)
+    land(tmp_path, DAY, [line(GlobalEventID=i) for i in range(500)], archive=True)
+    land(tmp_path, DAY, [line(GlobalEventID=-1)], 1, archive=True)
+    raw = lines.read_archives(spark, str(tmp_path))
+    assert [r.read_error for r in raw.filter("read_error IS NOT NULL").collect()] == ["larger than 1000 bytes"]
+    assert rows(to_bronze(raw.filter("read_error IS NULL")), "GlobalEventID") == [(-1,)]
+
+
 @pytest.mark.parametrize("text, expected", [
     ("1.5", None), ("1e3", None), ("x", None), ("99999999999", None), ("", None),
     (" 12 ", 12), ("+7", 7), ("-3", -3)])

@@ -160,6 +160,41 @@ def test_a_failed_check_leaves_the_tables_as_they_were(spark, tmp_path):
     assert snapshot(spark, lake)[1] == before[1]
 
 
+def test_a_range_stops_at_every_day_without_rows(spark, tmp_path):
+    days = days_between(dt.date(2025, 1, 10), dt.date(2025, 1, 13))
+    lake, span = new_lake(spark, tmp_path), Days(days[0], days[-1] + dt.timedelta(days=1))
+    for i, day in enumerate(days):
+        land(tmp_path / "in", day, [line(GlobalEventID=i, Day=f"{day:%Y%m%d}")])
+    jobs.run_bronze(spark, lake, str(tmp_path / "in"), span)
+    jobs.run_silver(spark, lake, span)
+    before = snapshot(spark, lake)
+    # (a) a day with events outside the focus list only, (b) days with blank files.
+    land(tmp_path / "in", days[1], [line(Actor1CountryCode="AUS")])
+    jobs.run_bronze(spark, lake, str(tmp_path / "in"), span)
+    with pytest.raises(quality.QualityError, match="silver: no rows for 2025-01-11$"):
+        jobs.run_silver(spark, lake, span)
+    assert snapshot(spark, lake)[1] == before[1]
+    bronze = snapshot(spark, lake)[0]
+    for day in days[1:]:
+        (tmp_path / "in" / slot_name(day)).write_text("\n")
+    with pytest.raises(quality.QualityError, match="bronze: no rows for 2025-01-11, 2025-01-12$"):
+        jobs.run_bronze(spark, lake, str(tmp_path / "in"), span)
+    assert snapshot(spark, lake)[0] == bronze
+
+
+def test_arrivals_are_told_by_the_format_to_be_read(spark, tmp_path):
+    days = days_between(dt.date(2025, 1, 10), dt.date(2025, 2, 10))
+    for i, day in enumerate(days):
+        land(tmp_path, day, [line()], archive=i == 1)
+    span = Days(days[0], days[-1] + dt.timedelta(days=1))
+    with pytest.raises(slots.NoInputError, match="for 2025-01-11$"):
+        jobs.check_arrivals(spark, str(tmp_path), span, CFG, archives=False)
+    with pytest.raises(slots.NoInputError) as raised:
+        jobs.check_arrivals(spark, str(tmp_path), span, CFG, archives=True)
+    assert str(raised.value).count("2025-") == len(days) - 1
+    jobs.check_arrivals(spark, str(tmp_path), span, CFG)
+
+
 def test_arrivals(spark, tmp_path):
     day = dt.date(2025, 1, 10)
     land(tmp_path, day, [line()], 1)

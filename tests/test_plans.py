@@ -62,7 +62,7 @@ def test_gold_prunes_months_and_columns_and_shuffles_once(spark, lake):
         within_months(F.col("event_date"), dt.date(2025, 2, 1), dt.date(2025, 3, 1)))
     df = gold.monthly_index(rows, CFG)
     text = plan(df)
-    assert re.search(r"PartitionFilters: \[isnotnull\(event_date#\d+\), \(event_date", text)
+    assert "GreaterThanOrEqual(event_date,2025-02-01)" in text
     assert exchanges(df) == 1 and "partial_count" in text
     scanned = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
     assert "Actor1Name" not in scanned and "GlobalEventID" not in scanned
@@ -71,9 +71,26 @@ def test_gold_prunes_months_and_columns_and_shuffles_once(spark, lake):
     assert "isFinalPlan=true" in metrics
 
 
-def test_coverage_reads_no_data_columns(spark, lake):
+def test_coverage_reads_event_dates_only(spark, lake):
     text = plan(coverage.month_completeness(lake.silver.read(spark)))
-    assert re.search(r"ReadSchema: struct<>", text)
+    assert re.search(r"ReadSchema: struct<event_date:date>", text)
+
+
+def test_a_pair_is_cut_out_by_code_in_the_scan(spark, lake):
+    pair = ("United States", "China")
+    for table in (lake.silver, lake.gold):
+        rows = serving.for_pair(table.read(spark), CFG, *pair)
+        text = plan(gold.monthly_index(rows, CFG) if table is lake.silver else rows)
+        for code in ("Actor1CountryCode,USA", "Actor2CountryCode,CHN"):
+            assert f"EqualTo({code})" in text
+
+
+def test_latest_file_carries_wide_rows_once(spark):
+    from pairpulse.catalogue.queries import QUERIES
+
+    text = plan(QUERIES["silver_latest_file_wins"](spark, SMALL))
+    wide = [x for x in re.findall(r"min\(struct\(([^\n]*)", text) if "SOURCEURL" in x or "AvgTone" in x]
+    assert text.count("Window") == 0 and wide
 
 
 def test_silver_followed_by_its_report_shuffles_ids_once(spark, lake):
@@ -87,9 +104,9 @@ def test_names_are_broadcast_from_literals(spark, lake):
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
 
 
-def test_latest_file_join_is_a_broadcast(spark, lake):
+def test_latest_file_join_needs_no_window(spark, lake):
     text = plan(silver.latest_file_wins(lake.silver.read(spark)))
-    assert "BroadcastHashJoin" in text and "Window" not in text
+    assert "LeftSemi" in text and "Window" not in text
 
 
 def test_days_prune_the_landing_listing(spark, tmp_path):
