@@ -136,10 +136,10 @@ def test_published_files_keep_the_clustered_order(spark, lake, tmp_path):
     publish_silver(clean(spark, *events), lake.silver, Days.one(F1), CFG)
     files = spark.table(lake.silver.name).select(
         F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"),
-        z_key(CFG).alias("z"), "GlobalEventID").collect()
+        "event_date", z_key(CFG).alias("z"), "GlobalEventID").collect()
     by_file = {}
     for r in sorted(files, key=lambda r: r.n):
-        by_file.setdefault(r.file, []).append((r.z, r.GlobalEventID))
+        by_file.setdefault(r.file, []).append((r.event_date, r.z, r.GlobalEventID))
     assert len(files) == 240 and all(v == sorted(v) for v in by_file.values())
 
 
