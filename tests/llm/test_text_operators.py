@@ -209,6 +209,37 @@ def test_line_groups_equal_brute_force(spark, docs):
     assert {(r.doc_id, r.line): r.kept for r in found} == {(i, n): first[at[t]] == (i, n) for i, n, t in own}
 
 
+def test_lines_are_grouped_by_edit_similarity_alone(spark, docs):
+    """All pairs of a sample of lines and of their edited copies, whatever the features say."""
+    random = np.random.default_rng(11)
+    units = sorted({" ".join(WORD.findall(lower(line))) for t in docs.values() for line in (t or "").split("\n")})
+    units = [u for u in units if 30 <= len(u) <= 300]
+    units = [units[i] for i in random.choice(len(units), 150, replace=False)]
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+
+    def typos(line, n):
+        out = list(line)
+        for at in random.choice([i for i, c in enumerate(line) if c != " "], n, replace=False):
+            out[at] = random.choice(letters)
+        return "".join(out)
+
+    def word(line):
+        out = line.split()
+        out[random.integers(len(out))] = "".join(random.choice(letters, 6))
+        return " ".join(out)
+
+    copies = [(typos(u, 1), typos(u, max(1, len(u) // 20)), word(u)) for u in units]
+    every = sorted({*units, *(c for own in copies for c in own)})
+    frame = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string")
+    group = {every[r.doc_id]: r.group for r in lines.line_groups(frame).collect()}
+    links = [(x, y) for x in range(len(every)) for y in range(x)
+             if abs(len(every[x]) - len(every[y])) <= 60 and lines._similar(every[x], every[y])]
+    found = [group[every[x]] == group[every[y]] for x, y in links]
+    assert len(links) >= 3 * len(units) and np.mean(found) >= 0.99
+    name = groups(range(len(every)), links)
+    assert all(name[x] == name[y] for x, a in enumerate(every) for y, b in enumerate(every[:x]) if group[a] == group[b])
+
+
 def test_lines_of_odd_rows(spark):
     found = {r.doc_id: r for r in lines.line_counts(odd_docs(spark)).collect()}
     assert 2 not in found and 3 not in found and 5 not in found and None not in found
