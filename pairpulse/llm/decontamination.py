@@ -62,8 +62,17 @@ def majority(counts: np.ndarray, n: int) -> np.ndarray:
     return packed(2 * counts.astype(np.int32) > n)
 
 
+def _least_shared(size: int, n: int) -> int:
+    """Shingles that texts of ``size`` and ``n`` shingles share at least if they are similar."""
+    return int(np.ceil(LEAST_SIMILARITY / (1 + LEAST_SIMILARITY) * (size + n) - 1e-9))
+
+
 class Index:
-    """Multi-index Hamming tables of the items, by window length.
+    """Multi-index Hamming tables of the items, by window length, and their rarest shingles.
+
+    A text, or a window of it, that is similar to an item of n shingles shares
+    ``LEAST_SIMILARITY`` n of them at least, so one of any other n - that + 1: the item's
+    rarest ones are its seeds.
 
     Of each item the first and the last window of its length are kept. A table per block
     of 16 bits names, for each value, the windows whose block is within the radius of a
@@ -72,6 +81,20 @@ class Index:
 
     def __init__(self, items: Items):
         self.by_length: dict[int, tuple] = {}
+        every = np.concatenate([np.zeros(0, np.uint64), *items.hashes])
+        _, at, count = np.unique(every, return_inverse=True, return_counts=True)
+        seeds, base = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+        for item, own in enumerate(items.hashes):
+            rare = np.argsort(count[at[base:base + len(own)]], kind="stable")
+            rare = rare[:len(own) - int(np.ceil(LEAST_SIMILARITY * len(own) - 1e-9)) + 1]
+            seed = np.unique(own[rare])
+            seeds.append((seed, np.full(len(seed), item)))
+            base += len(own)
+        seed, item = (np.concatenate(x) for x in zip(*seeds))
+        order = np.argsort(seed, kind="stable")
+        self.seeds, self.seed_items = seed[order], item[order]
+        self.seeded = np.zeros(1 << 22, np.bool_)
+        self.seeded[seed & np.uint64((1 << 22) - 1)] = True
         near = [m for m in range(1 << 16) if m.bit_count() <= RADIUS // BLOCKS]
         near = np.array(near, np.uint16)
         classes = window_length(items.lengths)
@@ -95,6 +118,14 @@ class Index:
             self.by_length[int(length)] = (
                 m, hit, lists, fps, np.array([e[0] for e in entries]), np.array([e[1] for e in entries]))
 
+    def holders(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of shingles that are seeds, and the items they are of."""
+        own = np.flatnonzero(self.seeded[shingles & np.uint64((1 << 22) - 1)])
+        lo, hi = (np.searchsorted(self.seeds, shingles[own], side) for side in ("left", "right"))
+        size = hi - lo
+        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        return np.repeat(own, size), self.seed_items[np.repeat(lo, size) + step]
+
     def candidates(self, window_fps: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Windows and index entries of that length within the radius."""
         _, hit, lists, fps, _, _ = self.by_length[length]
@@ -150,33 +181,30 @@ def _leaks(found, items: Items, index: Index, out: dict) -> None:
         return
     text_end = found.first[1:]
     by_size = {m: length for length, (m, *_) in index.by_length.items()}
-    places: dict[tuple[int, int], set[int]] = {}
+    at, item = index.holders(every)
+    text = np.searchsorted(text_end, at, "right")
+    whole = at + SHINGLE_WORDS <= text_end[text]
+    pairs = set(zip(text[whole].tolist(), item[whole].tolist()))
     for m, counts in _window_counts(bits_of(every), sorted(by_size)):
         fps = np.packbits((counts > m // 2).reshape(-1), bitorder="little").view("<u8")
         length = by_size[m]
         at, entry = index.candidates(fps, length)
-        if not len(at):
-            continue
         text = np.searchsorted(text_end, at, "right")
         inside = at + length <= text_end[text]
-        _, _, _, _, item_of, offset = index.by_length[length]
-        for t, item, start in zip(text[inside], item_of[entry[inside]],
-                                  (at - offset[entry])[inside]):
-            places.setdefault((int(t), int(item)), set()).add(int(start))
-    for (t, item), starts in places.items():
-        first, end, size = int(found.first[t]), int(text_end[t]), int(items.lengths[item])
-        own = items.hashes[item]
-        best = (0.0, 0)
-        for start in {min(max(first, s + shift), end - size) for s in starts for shift in range(-2, 3)}:
-            if start >= first:
-                window = every[start:start + size - SHINGLE_WORDS + 1]
-                best = max(best, (weighted_similarity(window, own), -start))
+        pairs |= set(zip(text[inside].tolist(), index.by_length[length][4][entry[inside]].tolist()))
+    for t, item in pairs:
+        first, end, own = int(found.first[t]), int(text_end[t]), items.hashes[item]
+        held = every[first:end - SHINGLE_WORDS + 1]
+        size = min(len(own), len(held))
+        shared = np.concatenate([[0], np.cumsum(np.isin(held, own))])
+        starts = np.flatnonzero(shared[size:] - shared[:len(shared) - size] >= _least_shared(size, len(own)))
+        best = max(((weighted_similarity(held[s:s + size], own), -s) for s in starts.tolist()), default=(0.0, 0))
         if best[0] >= LEAST_SIMILARITY:
-            out[t, item] = (best[0], -best[1] - first)
+            out[t, item] = (best[0], -best[1], size + SHINGLE_WORDS - 1)
 
 
 def _found(texts: pa.Array, items: Items, index: Index) -> dict:
-    """``(row, item) -> (similarity, first word)`` of the leaks in a column of texts."""
+    """``(row, item) -> (similarity, first word, words)`` of the leaks in a column of texts."""
     out: dict = {}
     if len(items.ids):
         for at, data, bounds in chunks(texts, _TEXT_BYTES):
@@ -205,9 +233,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *keys: str) -> DataFrame:
     Texts are cut into words (letters and digits, A-Z lower-cased). Windows of about the
     length of an item slide over every whole text, word by word; the fingerprint of a
     window is the bitwise majority over its 5-word shingles. A multi-index finds all
-    fingerprints within ``RADIUS`` bits of an item's, and around each candidate the
-    windows of exactly the item's length are compared with it by weighted shingles. Those
-    of ``LEAST_SIMILARITY`` or more are leaks.
+    fingerprints within ``RADIUS`` bits of an item's. Edits move fingerprints further, so a
+    text that holds one of the rarest shingles of an item is a candidate too, and with that
+    none is missed. The windows of the item's length, or all of a shorter text, are compared
+    with it by weighted shingles. Those of ``LEAST_SIMILARITY`` or more are leaks.
 
     Returns ``keys, item_id, similarity, start_word, n_words``: the best (then first)
     window per row and item. Rows of equal ids or texts are separate. Null and empty
@@ -233,7 +262,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *keys: str) -> DataFrame:
                 columns += [pa.array([items.ids[i] for _, i in found], arrow.field("item_id").type),
                             pa.array([v[0] for v in found.values()], pa.float64()),
                             pa.array([v[1] for v in found.values()], pa.int64()),
-                            pa.array([int(items.lengths[i]) for _, i in found], pa.int64())]
+                            pa.array([v[2] for v in found.values()], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
         found = kept.mapInArrow(run, schema)

@@ -156,6 +156,28 @@ def test_index_finds_every_fingerprint_within_the_radius():
     assert got == {tuple(x) for x in near.tolist()}
 
 
+def test_cut_and_edited_items_are_leaks():
+    random = np.random.default_rng(5)
+    texts = [[f"w{x}" for x in random.integers(0, 5000, n)] for n in (48, 50, 52, 55, 58, 60) * 5]
+    items = decontamination.prepared([(i, " ".join(w)) for i, w in enumerate(texts)])
+    index = decontamination.Index(items)
+    import pyarrow as pa
+
+    cut = [" ".join(w[:-n]) for n in (1, 3, 5) for w in texts]
+    found = decontamination._found(pa.array(cut), items, index)
+    assert all((i, i % len(texts)) in found for i in range(len(cut)))
+    assert found[0, 0] == (43 / 44, 0, 47)
+    rest = [f"x{i}" for i in range(40)]
+    edited = [" ".join(rest + w[:at] + ["other"] + w[at + 1:] + rest) for w in texts for at in range(len(w))]
+    item = [i for i, w in enumerate(texts) for _ in w]
+    found = decontamination._found(pa.array(edited), items, index)
+    size = np.array([len(texts[i]) - 4 for i in item])
+    broken = np.array([min(5, at + 1, len(w) - at) for w in texts for at in range(len(w))])
+    similar = (size - broken) / (size + broken) >= 0.8
+    assert similar.sum() > 1000
+    assert all((row, item[row]) in found for row in np.flatnonzero(similar))
+
+
 def test_leaks_of_odd_rows(spark):
     found = decontamination.leaks(odd_docs(spark), benchmark(spark), "doc_id").collect()
     assert {r.doc_id for r in found} == {1, 6, 8}
