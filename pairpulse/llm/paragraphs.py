@@ -18,13 +18,13 @@ SHINGLE_WORDS = 5
 LEAST_SIMILARITY = 0.8
 #: Share of the pairs at that similarity that must collide in a band.
 RECALL = 0.99
-#: Words of a paragraph (a line), and of a segment, that are looked at.
-PARAGRAPH_WORDS, SEGMENT_WORDS = 20, SHINGLE_WORDS
-#: One in so many pairs of neighbouring words ends a segment.
-SEGMENT_RATE = 6
+#: Words of a paragraph (a line) that is looked at; a segment is a shingle.
+PARAGRAPH_WORDS = 20
+#: Of so many neighbouring segments the one of the smallest hash is looked at.
+WINNOW = 4
 #: Repeated segments this many words apart are one run, and runs must be so long.
 RUN_GAP, RUN_WORDS = 12, 20
-_LINE, _SEGMENT, _SHINGLES = 0, 1, 2
+_LINE, _SEGMENT, _SHINGLES, _EDGE = 0, 1, 2, 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -38,25 +38,38 @@ BANDS = bands(rows=ROWS)
 
 
 def _units(data: np.ndarray, bounds: np.ndarray):
-    """Paragraphs and segments of texts: words found, and first and last word of each.
-
-    A line is cut into segments where the hash of two neighbouring words says so, so a
-    passage has the same cuts wherever it stands, with or without punctuation.
-    """
+    """Words found in texts, first and last word of each paragraph, and the end of every line."""
     found = words(data, bounds)
-    h = found.hashes
-    n = len(h)
+    n = len(found.hashes)
     lines = np.unique(np.concatenate(
-        [found.first, np.searchsorted(found.starts, np.flatnonzero(data == 10))]))
-    cuts = np.flatnonzero(mix(h[:-1] * _ODD + h[1:]) % np.uint64(SEGMENT_RATE) == 0) + 1
-    segments = np.unique(np.concatenate([lines, cuts]))
-    units = []
-    for cuts, least in ((lines, PARAGRAPH_WORDS), (segments, SEGMENT_WORDS)):
-        cuts = np.unique(np.append(cuts, n))
-        lo, hi = cuts[:-1], cuts[1:]
-        keep = hi - lo >= least
-        units.append((lo[keep], hi[keep]))
-    return found, units
+        [found.first, np.searchsorted(found.starts, np.flatnonzero(data == 10)), [n]]))
+    lo, hi = lines[:-1], lines[1:]
+    keep = hi - lo >= PARAGRAPH_WORDS
+    return found, lo[keep], hi[keep], np.repeat(hi, hi - lo)
+
+
+def _winnowed(hashes: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Places of the smallest of any ``WINNOW`` neighbouring hashes, of those inside a line.
+
+    Whatever stands around it, words that hold so many segments have one of them chosen.
+    """
+    padded = np.full(len(hashes) + 2 * (WINNOW - 1), ~np.uint64(0))
+    padded[WINNOW - 1:len(padded) - WINNOW + 1][inside] = hashes[inside]
+    windows = np.lib.stride_tricks.sliding_window_view(padded, WINNOW)
+    at = np.unique(np.argmin(windows, axis=1) + np.arange(len(windows))) - (WINNOW - 1)
+    at = at[(at >= 0) & (at < len(hashes))]
+    return at[inside[at]]
+
+
+def _edges(chosen: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Segments next to the first and last of each chain of chosen ones, which end a run."""
+    apart = np.diff(chosen) > WINNOW
+    first = chosen[np.append(True, apart)[:len(chosen)]]
+    last = chosen[np.append(apart, True)[:len(chosen)]]
+    step = np.arange(1, WINNOW)
+    at = np.unique(np.concatenate([(first[:, None] - step).ravel(), (last[:, None] + step).ravel()]))
+    at = at[(at >= 0) & (at < len(inside))]
+    return np.setdiff1d(at[inside[at]], chosen)
 
 
 def _sequence_hash(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, salt: int) -> np.ndarray:
@@ -90,11 +103,13 @@ def _scan(texts: pa.Array):
     for at, data, bounds in chunks(texts):
         if not len(data):
             continue
-        found, ((pl, ph), (sl, sh)) = _units(data, bounds)
+        found, pl, ph, line_end = _units(data, bounds)
         shingles = shingle_hashes(found.hashes, SHINGLE_WORDS)
         paragraph = _sequence_hash(found.hashes, pl, ph, _LINE + 1)
-        segment = _sequence_hash(found.hashes, sl, sh, _SEGMENT + 1)
-        yield (at, found, shingles, (pl, ph, paragraph, _band_keys(shingles, pl, ph)), (sl, sh, segment))
+        segments = mix(shingles + np.uint64(_SEGMENT + 1))
+        inside = np.arange(len(segments)) + SHINGLE_WORDS <= line_end[:len(segments)]
+        yield (at, found, shingles, (pl, ph, paragraph, _band_keys(shingles, pl, ph)),
+               (segments, inside, _winnowed(segments, inside)))
 
 
 def _jaccard(a: set, b: set) -> bool:
@@ -136,8 +151,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     5-word shingles is cut into bands whose number makes ``RECALL`` of the pairs at
     Jaccard ``LEAST_SIMILARITY`` collide; colliding paragraphs are compared by exact
     Jaccard and joined into components. A passage that is set into a longer paragraph is
-    found by its segments, cut by content: too short to change a word and stay similar,
-    they have one band, their hash. Runs of ``RUN_WORDS`` words or more of segments that
+    found by its segments, which are shingles: of any ``WINNOW`` neighbours one is chosen by
+    its hash, so every passage has chosen ones and all copies have the same. At the ends of
+    a run the neighbours are looked at too, up to its true end unless the other copy goes
+    on there: then up to three words are left. Runs of ``RUN_WORDS`` words or more that
     recur word for word are passages.
 
     Returns ``doc_id, kind, start_word, end_word, component_id, kept``: one row per
@@ -155,7 +172,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, _, (_, _, paragraph, band_keys), (_, _, segment) in _scan(batch.column("text")):
+            for _, _, _, (_, _, paragraph, band_keys), (segments, _, chosen) in _scan(batch.column("text")):
+                segment = segments[chosen]
                 key = np.concatenate([band_keys.ravel(), segment]).view(np.int64)
                 unit = np.concatenate([np.tile(paragraph, BANDS), segment]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(unit)], names=["key", "unit"])
@@ -174,7 +192,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         repeated, several = shared.value
         for batch in batches:
             ids = batch.column("doc_id")
-            for at, found, shingles, (pl, ph, paragraph, band_keys), (sl, sh, segment) in _scan(batch.column("text")):
+            for at, found, shingles, (pl, ph, paragraph, band_keys), (segments, inside, chosen) in _scan(batch.column("text")):
                 text = np.repeat(np.arange(len(found.bounds) - 1), np.diff(found.first))
                 columns = []
                 near = np.zeros(len(pl), bool)
@@ -184,8 +202,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                     own = np.flatnonzero(close | (repeated.holds(band_keys[band]) if band == 0 else False))
                     columns.append((_LINE, own, pl, ph, paragraph, band_keys[band], None))
                 columns.append((_SHINGLES, np.flatnonzero(near), pl, ph, paragraph, paragraph, shingles))
-                columns.append((_SEGMENT, np.flatnonzero(repeated.holds(segment)), sl, sh, segment,
-                                segment, None))
+                chosen = chosen[repeated.holds(segments[chosen])]
+                sl = np.arange(len(segments))
+                for kind, own in ((_SEGMENT, chosen), (_EDGE, _edges(chosen, inside))):
+                    columns.append((kind, own, sl, sl + SHINGLE_WORDS, segments, segments, None))
                 for kind, own, lo, hi, unit, key, payload in columns:
                     if not len(own):
                         continue
@@ -215,8 +235,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     where = lines.select("doc_id", "unit", "start", "stop").distinct()
     paragraphs = (where.join(classes, F.col("unit") == F.col("node"), "left")
                   .withColumn("class", F.coalesce("component", "unit")).drop("node", "component"))
-    segments = (placed.filter(F.col("kind") == _SEGMENT)
-                 .join(held.select(F.col("key")), "key", "left_semi")
+    segments = (placed.filter(F.col("kind").isin(_SEGMENT, _EDGE))
                  .select("doc_id", "unit", "start", "stop", F.col("unit").alias("class")))
 
     def first_of(rows: DataFrame) -> DataFrame:

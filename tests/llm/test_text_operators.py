@@ -340,6 +340,22 @@ def test_bands_reach_the_recall():
     assert 1 - (1 - 0.8 ** 2) ** n >= 0.99 > 1 - (1 - 0.8 ** 2) ** (n - 1)
 
 
+def test_no_passage_inside_a_line_is_missed(spark):
+    random = np.random.default_rng(13)
+    make = lambda n: [f"w{x}" for x in random.integers(0, 1 << 40, n)]
+    rows, places = [], {}
+    for number in range(300):
+        size = (20, 21, 30, 51)[number % 4]
+        passage = make(size)
+        for copy in range(2):
+            doc, at = 2 * number + copy, 100 + (number if copy else 0)
+            rows.append((doc, " ".join(make(at) + passage + make(100))))
+            places[doc] = (at, at + size)
+    found = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.start_word, r.end_word) for r in found if r.kind == "run"} == places
+    assert all(r.component_id == r.doc_id // 2 * 2 and r.kept == (r.doc_id % 2 == 0) for r in found)
+
+
 def test_passages_of_odd_rows(spark):
     found = paragraphs.repeated_passages(odd_docs(spark)).collect()
     assert {r.doc_id for r in found} == {1, 6, 8}
