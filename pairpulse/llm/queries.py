@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairpulse.llm import decontamination, embeddings, language, licenses, lines, mixing, near_dedup, paragraphs, personal_data, sharding
+from pairpulse.llm import decontamination, embeddings, language, licenses, lines, mixing, near_dedup, paragraphs, personal_data, pieces, sharding
 from pairpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,11 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score")
 
 
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.token_digests(table(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -76,4 +82,5 @@ QUERIES: dict[str, Query] = {
     "op8_repeated_paragraphs": op8_repeated_paragraphs,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_language_crf": op10_language_crf,
+    "op11_piece_encoding": op11_piece_encoding,
 }
