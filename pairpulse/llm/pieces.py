@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from pairpulse.llm.text import chunks
 
@@ -311,7 +312,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, *keys: str, round_trip: boo
     chunk of texts.
     """
     kept = docs.select(*keys, "text")
-    schema = kept.drop("text").schema.add("ids", "array<int>")
+    schema = kept.drop("text").schema.add("ids", ArrayType(IntegerType()))
     if round_trip:
         schema = schema.add("decoded", "string")
 
