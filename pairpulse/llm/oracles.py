@@ -93,7 +93,35 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (p * 16 // total
 FROM placed
 """
 
+_RANKED = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+size AS (SELECT count(*) FILTER (len(terms) > 0) AS filled, sum(len(terms))::BIGINT AS total FROM doc),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM doc) GROUP BY r, term),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * filled + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), size),
+item AS (
+  SELECT DISTINCT item_id, term FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+length AS (SELECT r, doc_id, 10 + (90 * len(terms) * filled) // total AS m FROM doc, size WHERE total > 0),
+scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM item JOIN weight USING (term) JOIN held USING (term) JOIN length USING (r)
+  GROUP BY item_id, r, doc_id),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS place
+  FROM scored WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op2_license_scan": _LICENSES,
     "op5_interleaved_sharding": _SHARDS,
+    "op12_ranked_search": _RANKED,
 }

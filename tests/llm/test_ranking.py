@@ -1,0 +1,97 @@
+"""Ranked search against SQL and against a plain score of every pair."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry
+from compare import connect, differences
+from odd import benchmark, no_docs, odd_docs, rows
+from pairpulse.llm import ranking
+
+SMALL = "/root/testdata/sf0.001"
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(FOLD))
+
+
+def plain(docs, items, k=10):
+    """Rows of the result, by scoring every item and document."""
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    filled, total = sum(bool(c) for _, c in held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    wanted = {}
+    for i, text in items:
+        wanted.setdefault(i, set()).update(terms(text))
+    out = []
+    for item, own in wanted.items():
+        found = []
+        for doc, counts in held:
+            m = 10 + 90 * sum(counts.values()) * filled // max(1, total)
+            score = sum(math.floor(1000 * math.log((2 * filled + 2) / (2 * df[t] + 1)))
+                        * (10 ** 9 * counts[t] // (1000 * counts[t] + 8 * m)) for t in own if t in counts)
+            found.append((-score, doc is not None, doc, score))
+        found.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, r, x[2], x[3]) for r, x in enumerate(found[:k], 1) if x[3] > 0]
+    return Counter(out)
+
+
+def test_query_equals_sql(spark):
+    name = "op12_ranked_search"
+    assert differences(entry.queries()[name](spark, SMALL), connect(SMALL), entry.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize("k, pass_items", [(10, 2048), (3, 2), (1, 1)])
+def test_odd_rows_equal_plain_scores(spark, k, pass_items):
+    items = benchmark(spark).union(spark.createDataFrame(
+        [(5, "jo doe and the cat"), (6, "GNU license mit"), (7, "no-such-term"), (8, "the"), (9, "same line of words")],
+        "item_id long, text string"))
+    got = ranking.ranked(odd_docs(spark), items, k, pass_items=pass_items)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    expected = plain([r[:2] for r in rows()], [tuple(r) for r in items.collect()], k)
+    assert Counter(map(tuple, got.collect())) == expected
+    assert ranking.ranked(no_docs(spark), items).count() == 0
+    assert ranking.ranked(odd_docs(spark), items.limit(0)).count() == 0
+
+
+def test_many_equal_scores_go_by_id(spark):
+    docs = spark.createDataFrame([(i * 7 % 501, "one two") for i in range(501)] + [(-5, "one"), (None, "one two")],
+                                 "doc_id long, text string").repartition(7)
+    items = spark.createDataFrame([(1, "two three"), (2, "one"), (3, "three")], "item_id long, text string")
+    expected = plain([tuple(r) for r in docs.collect()], [tuple(r) for r in items.collect()])
+    assert Counter(map(tuple, ranking.ranked(docs, items).collect())) == expected
+
+
+def test_items_share_nodes_and_keep_their_terms():
+    random = np.random.default_rng(2)
+    common = [f"c{i}" for i in range(30)]
+    own = {i: {c for c in common if random.random() < 0.4} | {f"x{i}", f"y{i}"} for i in range(40)}
+    by_term = {}
+    for i, held in own.items():
+        for t in held:
+            by_term.setdefault(t, []).append(i)
+    by_items = {}
+    for t, items in by_term.items():
+        by_items.setdefault(tuple(items), []).append(t)
+    graph = ranking.sharing(list(by_items.values()), [list(x) for x in by_items], 40)
+    nodes = [set(s) for s in graph.sets]
+    for a, b in graph.inner:
+        assert not nodes[a] & nodes[b]
+        nodes.append(nodes[a] | nodes[b])
+    for i, parts in enumerate(graph.items):
+        assert sum(len(nodes[p]) for p in parts) == len(own[i]) and set().union(*(nodes[p] for p in parts)) == own[i]
+    plain_sums = sum(len(x) - 1 for x in own.values())
+    assert len(graph.inner) + sum(len(x) - 1 for x in graph.items) < 0.8 * plain_sums
+
+
+def test_strings_as_ids(spark):
+    docs = spark.createDataFrame([("b", "one"), ("a", "one"), (None, "two")], "doc_id string, text string")
+    items = spark.createDataFrame([("q", "one two")], "item_id string, text string")
+    got = ranking.ranked(docs, items).orderBy("rank").collect()
+    assert [r.doc_id for r in got][1:] == ["a", "b"] and got[0].doc_id is None
