@@ -120,8 +120,83 @@ placed AS (
 SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 10
 """
 
+# The cheapest edits by searching forward: a step holds, for each role said last, the least
+# cost, the edits and the lines so far; the edits as a string decide between equal costs.
+_REPAIR = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT string_agg(printf('%08x', c), '' ORDER BY i) AS crc
+  FROM (SELECT i, list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+                              lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c
+        FROM range(256) t(i))),
+faulty AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT,
+               list_transform(regexp_extract_all(hex(encode(
+                 coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..'),
+                 lambda x: ('0x' || x)::UBIGINT)),
+             lambda c, b: xor(c >> 8, ('0x' || substr(crc, 8 * (xor(c, b) & 255)::BIGINT + 1, 8))::UBIGINT)),
+             4294967295::UBIGINT)::BIGINT % 20 AS fault
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM faulty WHERE fault <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS k,
+         substr(role, 1, 1) AS r FROM damaged),
+row_of AS (
+  SELECT *, chr(10) || role || ':' || text AS line, blank OR duplicate AS goes, truncated::INTEGER AS stays,
+         lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r NOT IN ('su', 'ua', 'au') AS illegal
+  FROM (SELECT *, NOT has_text AS blank, has_text AND k > 1 AS duplicate, has_text AND k = 1 AND NOT ended AS truncated
+        FROM (SELECT *, regexp_matches(text, '[^\x20\x09-\x0D]') AS has_text,
+                     regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS ended FROM placed))),
+-- n, s, u, a: the least way to have said nothing, or last the system, the user, the assistant.
+step AS (
+  SELECT conv_id, 0::BIGINT AS i, {'c': 0, 'e': '', 'l': ''} AS n,
+         {'c': 1000000000, 'e': '', 'l': ''} AS s, {'c': 1000000000, 'e': '', 'l': ''} AS u, {'c': 1000000000, 'e': '', 'l': ''} AS a
+  FROM (SELECT DISTINCT conv_id FROM row_of)
+  UNION ALL
+  SELECT conv_id, i,
+         {'c': n.c + 3, 'e': n.e || 'D', 'l': n.l},
+         list_min([{'c': s.c + 3, 'e': s.e || 'D', 'l': s.l},
+                   {'c': n.c + stays + CASE WHEN r = 's' THEN bar ELSE 1000000000 END, 'e': n.e || 'K', 'l': n.l || line}]),
+         list_min([{'c': v.c + 3, 'e': v.e || 'D', 'l': v.l},
+                   {'c': least_u.c + stays + CASE WHEN r = 'u' THEN bar ELSE 1000000000 END, 'e': least_u.e || 'K', 'l': least_u.l || line},
+                   {'c': least_u.c + stays + 2 + bar, 'e': least_u.e || 'R', 'l': least_u.l || chr(10) || 'user:' || text}]),
+         list_min([{'c': b.c + 3, 'e': b.e || 'D', 'l': b.l},
+                   {'c': v.c + stays + CASE WHEN r = 'a' THEN bar ELSE 1000000000 END, 'e': v.e || 'K', 'l': v.l || line},
+                   {'c': v.c + stays + 2 + bar, 'e': v.e || 'R', 'l': v.l || chr(10) || 'assistant:' || text}])
+  FROM (
+    SELECT x.*, list_min([n, s, b]) AS least_u
+    FROM (
+      SELECT w.*, list_min([a, {'c': v.c + 2, 'e': v.e || 'I', 'l': v.l || chr(10) || 'assistant:'}]) AS b
+      FROM (
+        SELECT step.*, row_of.i AS at, r, line, text, stays, CASE WHEN goes THEN 1000000000 ELSE 0 END AS bar,
+               list_min([u, {'c': n.c + 2, 'e': n.e || 'I', 'l': n.l || chr(10) || 'user:'},
+                         {'c': s.c + 2, 'e': s.e || 'I', 'l': s.l || chr(10) || 'user:'},
+                         {'c': a.c + 2, 'e': a.e || 'I', 'l': a.l || chr(10) || 'user:'}]) AS v
+        FROM step JOIN row_of ON row_of.conv_id IS NOT DISTINCT FROM step.conv_id AND row_of.i = step.i + 1) w) x) y(
+      conv_id, before, n, s, u, a, i, r, line, text, stays, bar, v, b, least_u)),
+total AS (
+  SELECT conv_id, count(*) AS n_rows, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM row_of GROUP BY conv_id),
+ended AS (
+  SELECT t.*, list_min([n, a, {'c': u.c + 2, 'e': u.e || 'I', 'l': u.l || chr(10) || 'assistant:'},
+                        {'c': s.c + 4, 'e': s.e || 'II', 'l': s.l || chr(10) || 'user:' || chr(10) || 'assistant:'}]) AS best
+  FROM total t JOIN step ON step.conv_id IS NOT DISTINCT FROM t.conv_id AND step.i = t.n_rows)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.e, '') AS audit, sha256(coalesce(substr(best.l, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_license_scan": _LICENSES,
     "op5_interleaved_sharding": _SHARDS,
     "op12_ranked_search": _RANKED,
+    "op13_conversation_repair": _REPAIR,
 }

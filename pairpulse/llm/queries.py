@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairpulse.llm import decontamination, embeddings, language, licenses, lines, mixing, near_dedup, paragraphs, personal_data, pieces, ranking, sharding
+from pairpulse.llm import conversations, decontamination, embeddings, language, licenses, lines, mixing, near_dedup, paragraphs, personal_data, pieces, ranking, sharding
 from pairpulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -88,4 +92,5 @@ QUERIES: dict[str, Query] = {
     "op10_language_crf": op10_language_crf,
     "op11_piece_encoding": op11_piece_encoding,
     "op12_ranked_search": op12_ranked_search,
+    "op13_conversation_repair": op13_conversation_repair,
 }
