@@ -277,28 +277,29 @@ def _starts(walked: DataFrame) -> DataFrame:
 
 
 def _edited(chosen: DataFrame) -> DataFrame:
-    """``conv_id, block, at, edit, role, key``: rows that stay or are put in, in order of block and at."""
+    """``conv_id, block, at, edit, new_role, key``: rows that stay or are put in, in order of block and at."""
     schema = StructType([chosen.schema["conv_id"], StructField("block", LongType()), StructField("at", IntegerType()),
                          StructField("edit", StringType()), StructField("new_role", StringType()),
                          StructField("key", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                first, codes, keys, state, audit = (
-                    batch.column(c)[i].as_py() for c in ("first", "codes", "keys", "start", "audit"))
-                row, out = 0, []
+            source, out = [], []
+            blocks = zip(*(batch.column(c).to_pylist() for c in ("first", "codes", "keys", "start", "audit")))
+            for i, (first, codes, keys, state, audit) in enumerate(blocks):
+                row = 0
                 for at, edit in enumerate(audit):
                     if edit != "D":
                         state = _STEP[state, codes[row] & 3] if edit == "K" else _NEXT[state]
-                        out.append((at, edit, None if edit == "K" else _ROLES[state],
+                        source.append(i)
+                        out.append((first, at, edit, None if edit == "K" else _ROLES[state],
                                     None if edit == "I" else keys[16 * row:16 * row + 16]))
                     row += edit != "I"
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("conv_id").take(pa.array([i] * len(out))), pa.array([first] * len(out), pa.int64()),
-                         *(pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.string(), pa.string(), pa.binary())))],
-                        names=schema.names)
+            if out:
+                types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("conv_id").take(pa.array(source)), *map(pa.array, zip(*out), types)],
+                    names=schema.names)
 
     return chosen.select("conv_id", "first", "codes", "keys", "start", "audit").mapInArrow(run, schema)
 
