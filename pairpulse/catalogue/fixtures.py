@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import io
+import random
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairpulse import schema
@@ -70,6 +73,47 @@ def pack_archives(lines: DataFrame) -> DataFrame:
     return ordered.mapInPandas(_pack, _ARCHIVE)
 
 
+# An archive of these days of a month cannot be read; of 23 January it is too large.
+FLIPPED, NO_ARCHIVE, NO_MEMBER = "13", "17", "19"
+TOO_LARGE, LARGEST_ARCHIVE = "0123", 4 << 20
+
+
+def _spoil(slot: str, data: bytes) -> bytes:
+    """The archive of a slot, spoilt by the rules above."""
+    if slot[6:8] == NO_ARCHIVE:
+        return b"no archive"
+    broken = bytearray(data)
+    if slot[6:8] == FLIPPED:
+        broken[len(broken) // 2] ^= 0xFF
+    if slot[6:8] == NO_MEMBER or slot[4:8] == TOO_LARGE:
+        out = io.BytesIO(b"" if slot[6:8] == NO_MEMBER else data)
+        with zipfile.ZipFile(out, "a") as archive:
+            noise = b"" if slot[6:8] == NO_MEMBER else random.Random(0).randbytes(LARGEST_ARCHIVE)
+            archive.writestr("readme.txt", noise)
+        return out.getvalue()
+    return bytes(broken)
+
+
+def write_archives(archives: DataFrame, folder: str) -> str:
+    """Write ``path, content`` as spoilt archive files below ``folder``, one folder per task:
+    a task that is repeated writes the same files again."""
+    uri = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, root = pafs.FileSystem.from_uri(uri)
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                files.create_dir(f"{root}/{part}-{n}", recursive=True)
+                with files.open_output_stream(f"{root}/{part}-{n}/{path}") as out:
+                    out.write(_spoil(path, content))
+                n += 1
+        yield pd.DataFrame({"files": [n]})
+
+    archives.mapInPandas(write, "files long").agg(F.sum("files")).collect()
+    return folder
+
+
 def _damage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         content = []
@@ -107,6 +151,21 @@ def planted_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw
 
 
+def planted_faults(raw: DataFrame) -> DataFrame:
+    """Raw rows of which some are malformed lines and some stand for unreadable archives."""
+    case = F.col("SOURCEURL").substr(5, 20).cast("long") % 40
+    return raw.withColumns({schema.MALFORMED: case.isin(11, 12),
+                            schema.READ_ERROR: F.when(case == 13, "BadZipFile")})
+
+
+def stray_names(lines: DataFrame) -> DataFrame:
+    """Slots of the 5th of a month are named as something else, those of the 6th by no date."""
+    day = F.substring("slot", 7, 2)
+    named = (F.when(day == "05", F.concat(F.lit("events-"), F.substring("slot", 1, 8)))
+             .when(day == "06", F.overlay("slot", F.lit("32"), 7, 2)).otherwise(F.col("slot")))
+    return lines.withColumn("slot", named)
+
+
 def planted_gold(gold: DataFrame) -> DataFrame:
     """An index in which some rows break each rule."""
     n = F.col("total_events")

@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from pairpulse import schema
 from pairpulse.catalogue.fixtures import GOLD_COLUMNS, SILVER_COLUMNS
-from pairpulse.config import EngineConfig
-from pairpulse.operators.silver import tie_break_order
 
-_CFG = EngineConfig()
-_FOCUS = ", ".join(f"'{c}'" for c in _CFG.focus_countries)
-_UNREST = ", ".join(f"'{c}'" for c in _CFG.unrest_root_codes)
+# Fixed values, spelled out here so that the engine's own lists are checked against them:
+# the focus countries with their names, the unrest root codes, the order in which copies
+# are compared.
+_COUNTRY_NAMES = """('USA', 'United States'), ('CHN', 'China'), ('RUS', 'Russia'), ('GBR', 'United Kingdom'),
+  ('FRA', 'France'), ('DEU', 'Germany'), ('UKR', 'Ukraine'), ('ISR', 'Israel'), ('PSE', 'Palestine'),
+  ('IRN', 'Iran'), ('SYR', 'Syria'), ('IND', 'India'), ('BRA', 'Brazil'), ('MEX', 'Mexico'), ('TUR', 'Turkey'),
+  ('COD', 'Democratic Republic of the Congo'), ('RWA', 'Rwanda'), ('ETH', 'Ethiopia'), ('ERI', 'Eritrea'),
+  ('PAK', 'Pakistan'), ('EGY', 'Egypt'), ('VEN', 'Venezuela'), ('ARG', 'Argentina'), ('PRK', 'North Korea'),
+  ('TWN', 'Taiwan'), ('KOR', 'South Korea')"""
+_FOCUS = """'ARG', 'BRA', 'CHN', 'COD', 'DEU', 'EGY', 'ERI', 'ETH', 'FRA', 'GBR', 'IND', 'IRN', 'ISR', 'KOR',
+  'MEX', 'PAK', 'PRK', 'PSE', 'RUS', 'RWA', 'SYR', 'TUR', 'TWN', 'UKR', 'USA', 'VEN'"""
+_UNREST = "'10', '13', '14'"
+_COMPARED = """input_file_date, event_date, Actor1CountryCode, Actor2CountryCode, Actor1Type1Code, Actor2Type1Code,
+  EventRootCode, GoldsteinScale, NumMentions, NumSources, NumArticles, AvgTone, GlobalEventID, Actor1Code,
+  Actor1Name, Actor1KnownGroupCode, Actor1Type2Code, Actor1Type3Code, Actor2Code, Actor2Name,
+  Actor2KnownGroupCode, Actor2Type2Code, Actor2Type3Code, EventCode, EventBaseCode, QuadClass"""
 _DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
@@ -97,7 +108,8 @@ _LIST = ", ".join(SILVER_COLUMNS)
 
 
 def _dedup(key: list[str], clean: str = _CLEAN) -> str:
-    order = ", ".join(f"{c} ASC NULLS FIRST" for c in tie_break_order(SILVER_COLUMNS) if c not in key)
+    compared = [c.strip() for c in _COMPARED.split(",")]
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in compared if c not in key)
     return f"""{clean},
 silver AS (
   SELECT {_LIST} FROM clean
@@ -245,8 +257,7 @@ SELECT GlobalEventID, Day, FractionDate,
   input_file_date, GlobalEventID % 50 IN (1, 2) AS malformed_line
 FROM bronze"""
 
-_NAMES = "names(code, name) AS (VALUES " + ", ".join(
-    f"('{c}', '{n}')" for c, n in _CFG.country_names.items()) + ")"
+_NAMES = f"names(code, name) AS (VALUES {_COUNTRY_NAMES})"
 _NAMED = f"""{_GOLD},
 {_NAMES},
 named AS (
@@ -258,24 +269,29 @@ _ONE_PAIR = "FROM named WHERE source_country = 'United States' AND target_countr
 
 _BITS = " + ".join(f"(((a >> {i}) & 1) << {2 * i}) + (((b >> {i}) & 1) << {2 * i + 1})"
                    for i in range(5))
-_SORTED = ", ".join(f"'{c}'" for c in sorted(_CFG.focus_countries))
+_SORTED = _FOCUS  # spelled in alphabetical order
 
 _ALL_SILVER = f"WITH {_SILVER} SELECT * FROM silver"
 _ALL_GOLD = f"WITH {_GOLD} SELECT {_GOLD_LIST} FROM gold"
 
 
-def _backfill_gold(landed: str) -> str:
-    """``landed``: the rows whose file dates have been loaded."""
+# Ten days before the month of the last file date: where daily runs begin.
+_TAIL = "(SELECT date_trunc('month', max(input_file_date)) - INTERVAL 10 DAY FROM bronze)"
+
+
+def _backfill_gold(landed: str, as_of: bool = True, lifted: str = "TRUE") -> str:
+    """``landed``: the rows whose file dates have been loaded; ``lifted``: where a skipped day
+    lifts the need for a complete month."""
     return f"""WITH {_SILVER},
 {_PLAN.replace("FROM bronze", f"FROM {landed}")},
-seen AS (SELECT * FROM silver WHERE input_file_date <= last_day(event_date)),
+seen AS (SELECT * FROM silver WHERE {"input_file_date <= last_day(event_date)" if as_of else "TRUE"}),
 seen_months AS (
   SELECT {_MONTH} AS year_month, count(DISTINCT event_date) AS days_present FROM seen GROUP BY ALL
 ),
 full_months AS (SELECT year_month FROM seen_months WHERE days_present = {_DAYS}),
 eligible AS (
   SELECT CAST(date_trunc('month', file_date) AS DATE) AS m FROM plan
-  WHERE run_gold AND (NOT require_full_month
+  WHERE run_gold AND ((NOT require_full_month AND {lifted})
     OR CAST(date_trunc('month', file_date) AS DATE) IN (SELECT year_month FROM full_months))
 ),
 wanted AS (SELECT * FROM seen WHERE {_MONTH} IN (SELECT m FROM eligible)),
@@ -304,6 +320,10 @@ WHERE event_date IS NOT NULL AND Actor1CountryCode IS NOT NULL AND Actor2Country
     "duplicate_ids": f"""WITH {_CLEAN}
 SELECT input_file_date, GlobalEventID, count(*) AS copies FROM clean GROUP BY ALL
 HAVING count(*) > 1""",
+    "duplicates_exist": f"""WITH {_SILVER},
+folded AS (SELECT count(*) AS n FROM clean GROUP BY input_file_date, GlobalEventID)
+SELECT 'before' AS stage, coalesce(bool_or(n > 1), FALSE) AS has_duplicates FROM folded
+UNION ALL SELECT 'after', count(*) < 0 FROM folded""",
     "unrest_counts": f"WITH {_SILVER} {_pairs('total_events', 'geo_unrest_score')}",
     "gov_flow_counts": f"WITH {_SILVER} " + _pairs(
         "total_gov_gov_events", "total_ngov_gov_events", "total_gov_ngov_events"),
@@ -346,6 +366,20 @@ FROM expected LEFT JOIN arrived ON expected.slot = arrived.slot GROUP BY file_da
     "tsv_roundtrip": _PLANTED_LINES,
     "zip_roundtrip": _PLANTED_LINES,
     "damaged_archives": f"{_PLANTED_LINES} WHERE day(input_file_date) <> 13",
+    "archive_files": f"""WITH lines AS ({_PLANTED_LINES}),
+days AS (
+  SELECT DISTINCT input_file_date, CASE WHEN day(input_file_date) = 19 THEN 'no .CSV member'
+    WHEN day(input_file_date) IN (13, 17) THEN 'damaged'
+    WHEN day(input_file_date) = 23 AND month(input_file_date) = 1 THEN 'larger than an archive may be' END AS read_error
+  FROM lines WHERE day(input_file_date) <> 1
+)
+SELECT lines.*, read_error FROM lines JOIN days USING (input_file_date) WHERE read_error IS NULL
+UNION ALL BY NAME
+SELECT input_file_date, read_error FROM days WHERE read_error IS NOT NULL""",
+    "landing_strays": f"""WITH {_bronze()}
+SELECT 'stray' AS kind, count(DISTINCT input_file_date) AS names FROM bronze WHERE day(input_file_date) IN (5, 6)
+UNION ALL
+SELECT 'slot', count(DISTINCT input_file_date) FROM bronze WHERE day(input_file_date) NOT IN (5, 6)""",
     "bronze_cast": f"""WITH {_PLANTED_BRONZE}
 SELECT GlobalEventID, Day, NumMentions, NumSources, GoldsteinScale, AvgTone, Actor1Geo_Lat,
   FractionDate, QuadClass, SOURCEURL, input_file_date FROM planted""",
@@ -363,14 +397,15 @@ ids AS (
   FROM silver GROUP BY ALL
 )
 SELECT Actor1CountryCode, Actor2CountryCode, CAST({_BITS} AS INTEGER) AS z_key, events FROM ids""",
-    "quality_bronze": f"WITH {_PLANTED_BRONZE} " + _report({
-        "empty": "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END",
-        "extra_file_dates": "greatest(count(DISTINCT input_file_date) - 1, 0)",
-        "null_file_dates": "count(*) FILTER (WHERE input_file_date IS NULL)",
-        "null_ids": "count(*) FILTER (WHERE GlobalEventID IS NULL)",
-        "malformed_lines": "0",
-        "read_errors": "0",
-    }, "planted").replace("coalesce(0, 0)", "count(*) * 0"),
+    "quality_bronze": f"WITH {_PLANTED_BRONZE}, faults AS ("
+                      "SELECT *, CAST(substr(SOURCEURL, 5) AS BIGINT) % 40 AS c FROM planted) " + _report({
+        "empty": "CASE WHEN count(*) FILTER (WHERE c <> 13) = 0 THEN 1 ELSE 0 END",
+        "extra_file_dates": "greatest(count(DISTINCT input_file_date) FILTER (WHERE c <> 13) - 1, 0)",
+        "null_file_dates": "count(*) FILTER (WHERE c <> 13 AND input_file_date IS NULL)",
+        "null_ids": "count(*) FILTER (WHERE c <> 13 AND GlobalEventID IS NULL)",
+        "malformed_lines": "count(*) FILTER (WHERE c IN (11, 12))",
+        "read_errors": "count(*) FILTER (WHERE c = 13)",
+    }, "faults"),
     "quality_silver": f"""WITH {_CLEAN},
 folded AS (SELECT input_file_date, GlobalEventID, count(*) AS copies FROM clean GROUP BY ALL)
 """ + _report({
@@ -384,6 +419,26 @@ folded AS (SELECT input_file_date, GlobalEventID, count(*) AS copies FROM clean
     "backfill_plan": f"WITH {_bronze()}, {_PLAN} SELECT * FROM plan",
     "backfill_gold": _backfill_gold("bronze"),
     "backfill_tables": _backfill_gold("silver"),
+    # Daily runs always want a complete month.
+    "daily_run": _backfill_gold("silver", lifted=f"file_date < {_TAIL}"),
+    "gold_pruned": f"""WITH {_GOLD},
+opened AS (SELECT {_MONTH} AS year_month, count(DISTINCT input_file_date) AS file_dates FROM silver GROUP BY ALL)
+SELECT {_GOLD_LIST}, file_dates FROM gold JOIN opened USING (year_month)""",
+    "layout_skipping": f"""WITH {_SILVER},
+ids AS (
+  SELECT Actor1CountryCode AS source, Actor2CountryCode AS target, count(*) AS n,
+    list_position([{_SORTED}], Actor1CountryCode) - 1 AS a, list_position([{_SORTED}], Actor2CountryCode) - 1 AS b
+  FROM silver GROUP BY ALL
+),
+placed AS (SELECT *, row_number() OVER (ORDER BY {_BITS}) AS place FROM ids),
+sided AS (
+  SELECT 'source' AS side, source AS country, n, place FROM placed
+  UNION ALL SELECT 'target', target, n, place FROM placed
+),
+runs AS (SELECT *, place - row_number() OVER (PARTITION BY side, country ORDER BY place) AS run FROM sided)
+SELECT side, country, CAST(sum(n) AS BIGINT) AS events, count(DISTINCT run) AS z_runs, TRUE AS within_bound
+FROM runs GROUP BY side, country""",
+    "stream_gold": _backfill_gold("bronze", as_of=False),
     "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
     "affected_months": f"WITH {_SILVER} SELECT DISTINCT input_file_date, {_MONTH} AS year_month FROM silver",
     "country_names": f"""WITH {_GOLD},

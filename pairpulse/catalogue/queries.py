@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pairpulse import schema
 from pairpulse.catalogue import fixtures as fx
@@ -23,8 +23,8 @@ from pairpulse.operators.bronze import to_bronze
 from pairpulse.plans import backfill, jobs
 from pairpulse.sinks.extract import export_index_csv
 from pairpulse.sinks.staging import new_scratch_path, staged
-from pairpulse.sinks.tables import Lake, publish, publish_silver
-from pairpulse.sources import lines, slots
+from pairpulse.sinks.tables import Lake, clustered, publish, publish_silver
+from pairpulse.sources import landing, lines, slots
 from pairpulse.sources.extract import read_index_csv
 from pairpulse.sources.star_events import star_events
 from pairpulse.streaming.incremental import load_landed
@@ -38,11 +38,12 @@ PAIR = ("United States", "China")
 _LOADED = dt.datetime(2026, 1, 1)
 
 
-def _silver(spark: SparkSession, sf_dir: str, *needed: str, cfg: EngineConfig = CFG) -> DataFrame:
+def _silver(spark: SparkSession, sf_dir: str, *needed: str, cfg: EngineConfig = CFG,
+            only: Mapping[str, Collection[str]] | None = None) -> DataFrame:
     """Silver with the needed columns, reading only what those depend on."""
     carried = silver.carried_columns(needed, cfg)
     read = {"Day", *cfg.essential_columns, *carried} - {"event_date", "ingested_at"}
-    return silver.to_silver(star_events(spark, sf_dir, sorted(read)), cfg, needed)
+    return silver.to_silver(star_events(spark, sf_dir, sorted(read)), cfg, needed, only)
 
 
 def _index(spark: SparkSession, sf_dir: str, cfg: EngineConfig = CFG) -> DataFrame:
@@ -110,9 +111,16 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.duplicate_ids(_before_dedup(spark, sf_dir), CFG)
 
 
+def duplicates_exist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before = _before_dedup(spark, sf_dir)
+    stages = {"before": before, "after": silver.dedup_events(before, CFG)}
+    found = [silver.duplicate_exists(df, CFG).select(F.lit(name).alias("stage"), "has_duplicates")
+             for name, df in stages.items()]
+    return found[0].unionByName(found[1])
+
+
 def silver_latest_file_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dates = _silver(spark, sf_dir, "input_file_date", "event_date")
-    return silver.latest_file_wins(silver_events(spark, sf_dir), dates)
+    return silver.latest_file_wins(silver_events(spark, sf_dir))
 
 
 def z_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,6 +239,35 @@ def zip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(lines.unpack_archives(archives), diagnostics=True).select(*_ROUNDTRIP)
 
 
+def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive files of all days but the first of a month; those that cannot be read give
+    their date and the reason, once for each day."""
+    lines_of = fx.event_lines(spark, sf_dir, planted=True)
+    folder = fx.write_archives(fx.pack_archives(lines_of), new_scratch_path(spark, "archives"))
+    lo, _, end = _file_range(star_events(spark, sf_dir, ["input_file_date"]))
+    days = Days(lo, end).without([d for d in Days(lo, end).each() if d.day == 1])
+    raw = lines.read_archives(spark, folder, days, max_bytes=fx.LARGEST_ARCHIVE)
+    rows = to_bronze(raw, diagnostics=True)
+    reason = F.col(schema.READ_ERROR)
+    known = F.when(reason.isin(lines.TOO_LARGE, lines.NO_MEMBER), reason).otherwise("damaged")
+    failed = rows.filter(reason.isNotNull()).select("input_file_date", known.alias(schema.READ_ERROR)).distinct()
+    good = rows.filter(reason.isNull()).select(*_ROUNDTRIP, schema.READ_ERROR)
+    return good.unionByName(failed, allowMissingColumns=True)
+
+
+def landing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots of the landing area that a load reads, and names that none does."""
+    path = fx.write_landing(fx.stray_names(fx.event_lines(spark, sf_dir)), new_scratch_path(spark, "landing"))
+    name = F.regexp_extract("path", "slot=([^/]*)", 1)
+
+    def names(files: DataFrame, kind: str) -> DataFrame:
+        return files.agg(F.lit(kind).alias("kind"), F.count_distinct(name).alias("names"))
+
+    return (names(landing.landing_strays(spark, path), "stray")
+            .unionByName(slots.landed_slots(spark, path, CFG).agg(
+                F.lit("slot").alias("kind"), F.count_distinct("slot").alias("names"))))
+
+
 _CAST = ["Day", "NumMentions", "NumSources", "GoldsteinScale", "AvgTone", "Actor1Geo_Lat",
          "FractionDate", "QuadClass", "SOURCEURL", "input_file_date"]
 
@@ -242,7 +279,8 @@ def bronze_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reports --------------------------------------------------------------------------
 
 def quality_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.bronze_report(to_bronze(fx.planted_raw(spark, sf_dir), diagnostics=True))
+    raw = fx.planted_faults(fx.planted_raw(spark, sf_dir))
+    return quality.bronze_report(to_bronze(raw, diagnostics=True))
 
 
 def quality_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,17 +327,16 @@ def bronze_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first range goes in with its events a day early, then both as they should be.
-    Only the second version may remain."""
+    """Both ranges go in with their events a day early, then as they should be. Only the
+    second version may remain."""
     lake = _new_lake(spark)
     bronze = star_events(spark, sf_dir, fx.BRONZE_FOR_SILVER)
     right = silver.to_silver(bronze, CFG).withColumn("ingested_at", F.lit(_LOADED).cast("timestamp"))
     with staged(right, "silver_replay") as rows:
         wrong = rows.withColumn("event_date", F.date_sub("event_date", 1))
-        first, second = _overlapping(rows)
-        publish_silver(wrong.filter(first.contains(F.col("input_file_date"))), lake.silver, first, CFG)
-        for days in (first, second):
-            publish_silver(rows.filter(days.contains(F.col("input_file_date"))), lake.silver, days, CFG)
+        for version in (wrong, rows):
+            for days in _overlapping(rows):
+                publish_silver(version.filter(days.contains(F.col("input_file_date"))), lake.silver, days, CFG)
     return lake.silver.read(spark).drop("ingested_at")
 
 
@@ -312,32 +349,121 @@ def gold_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.gold.read(spark).select(*fx.GOLD_COLUMNS)
 
 
+def _stored_silver(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake with all of silver and its event days."""
+    lake = _new_lake(spark)
+    bronze = star_events(spark, sf_dir, fx.BRONZE_FOR_SILVER)
+    with staged(silver.to_silver(bronze, CFG).withColumn("ingested_at", F.lit(_LOADED).cast("timestamp")),
+                "stored_silver") as rows:
+        lo, _, end = _file_range(rows)
+        publish_silver(rows, lake.silver, Days(lo, end), CFG, lake.event_days)
+    return lake
+
+
+def gold_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index from stored silver, every other month at a time, each opening the file
+    dates of its months only; and how many those are."""
+    lake = _stored_silver(spark, sf_dir)
+    days = coverage.affected_months(lake.event_days.read(spark))
+    months = sorted(r.year_month for r in days.select("year_month").distinct().collect())  # the calendar's
+    for turn in (months[::2], months[1::2]):
+        jobs.run_gold(spark, lake, dict.fromkeys(turn, False))
+    opened = days.groupBy("year_month").agg(F.count("input_file_date").alias("file_dates"))
+    return lake.gold.read(spark).join(opened, "year_month").select(*fx.GOLD_COLUMNS, "file_dates")
+
+
+def layout_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written in its clustered order, in files of a 64th of its rows, and for each
+    country on either side whether the files that hold it are as few as the order promises.
+
+    Rows of a country stand in runs of the interleaved key. A run of r rows touches r / size
+    full files, two more at its ends, and files that are short because a task ended there.
+    """
+    rows = _silver(spark, sf_dir, "event_date", "Actor1CountryCode", "Actor2CountryCode", "GlobalEventID")
+    path = new_scratch_path(spark, "layout")
+    with staged(rows, "layout") as kept:
+        size = max(1, -(-kept.count() // 64))
+        clustered(kept, CFG, []).write.option("maxRecordsPerFile", size).parquet(path)
+    stored = spark.read.parquet(path).withColumns({"file": F.col("_metadata.file_path"), "z": z_key(CFG)})
+    short = stored.groupBy("file").count().agg(F.count_if(F.col("count") < size).alias("short"))
+    keys = (stored.groupBy("z", "Actor1CountryCode", "Actor2CountryCode").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("place", F.row_number().over(Window.orderBy("z"))))  # a row per pair of countries
+
+    def side(name: str, code: str) -> DataFrame:
+        own = Window.partitionBy(code).orderBy("z")
+        runs = (keys.withColumn("run", F.col("place") - F.row_number().over(own)).groupBy(code, "run")
+                .agg(F.sum("n").alias("n")).groupBy(code)
+                .agg(F.sum("n").alias("events"), F.count(F.lit(1)).alias("z_runs"),
+                     F.sum(F.floor(F.col("n") / size) + 2).alias("most")))
+        opened = stored.groupBy(code).agg(F.count_distinct("file").alias("files"))
+        return (runs.join(opened, code).crossJoin(short)
+                .select(F.lit(name).alias("side"), F.col(code).alias("country"), "events", "z_runs",
+                        (F.col("files") <= F.col("most") + F.col("short")).alias("within_bound")))
+
+    return side("source", "Actor1CountryCode").unionByName(side("target", "Actor2CountryCode"))
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, Days]:
-    """Every event of the days that have one between focus countries, as landed files, and
-    these days. On any other day the load stops, as it has to."""
-    with staged(_silver(spark, sf_dir, "input_file_date").distinct(), "landing_days") as days:
-        slot = F.concat(F.date_format("input_file_date", "yyyyMMdd"), F.lit("000000.export.CSV"))
-        lines = fx.event_lines(spark, sf_dir).join(days.select(slot.alias("slot")), "slot", "left_semi")
-        path = fx.write_landing(lines.select("slot", "line"), new_scratch_path(spark, "landing"))
-        # One row per day of the landing area.
-        found = [r.input_file_date for r in days.collect()]
-    return path, Days.of(found)
+    """Every event as landed files, and the days that have one."""
+    events = star_events(spark, sf_dir, ["input_file_date"]).filter("input_file_date IS NOT NULL")
+    days = Days.of([r[0] for r in events.distinct().collect()])  # one row per day of the landing area
+    return fx.write_landing(fx.event_lines(spark, sf_dir), new_scratch_path(spark, "landing")), days
+
+
+def _backfilled(spark: SparkSession, lake: Lake, path: str, days: Days) -> None:
+    """A backfill that stops at days without an event, and goes through when they are skipped."""
+    try:
+        backfill.run_backfill(spark, lake, path, days.start, days.end, days.skip)
+    except quality.QualityError as stopped:
+        if not stopped.days:
+            raise
+        backfill.run_backfill(spark, lake, path, days.start, days.end, days.without(stopped.days).skip)
 
 
 def backfill_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files to published index through all three jobs."""
     lake = _new_lake(spark)
+    _backfilled(spark, lake, *_landed(spark, sf_dir))
+    return lake.gold.read(spark).select(*fx.GOLD_COLUMNS)
+
+
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days up to the last ten of the month before the last in one go, then a daily run for
+    each of the days after them, so two months end in daily runs. A day without an event fails
+    and is left behind, as a scheduler would leave it."""
+    lake = _new_lake(spark)
     path, days = _landed(spark, sf_dir)
-    backfill.run_backfill(spark, lake, path, days.start, days.end, days.skip)
+    last = days.end - dt.timedelta(days=1)
+    first = last.replace(day=1) - dt.timedelta(days=10)
+    if days.start < first:
+        _backfilled(spark, lake, path, Days(days.start, first, days.skip))
+    by_day = path + "/slot={day}*"
+    for day in Days(max(first, days.start), days.end).each():
+        try:
+            backfill.run_daily(spark, lake, by_day, day)
+        except (slots.NoInputError, quality.QualityError) as stopped:
+            if stopped.days != [day] and "empty=1" not in str(stopped):
+                raise
     return lake.gold.read(spark).select(*fx.GOLD_COLUMNS)
 
 
+def _streamed(spark: SparkSession, sf_dir: str) -> Lake:
+    lake = _new_lake(spark)
+    path, days = _landed(spark, sf_dir)
+    batches = load_landed(spark, lake, path, new_scratch_path(spark, "stream"),
+                          files_per_batch=max(1, len(days.each()) // 2))
+    batches.awaitTermination()
+    return lake
+
+
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files to published silver through the stream."""
-    lake = _new_lake(spark)
-    path, _ = _landed(spark, sf_dir)
-    load_landed(spark, lake, path, new_scratch_path(spark, "stream")).awaitTermination()
-    return lake.silver.read(spark).drop("ingested_at")
+    return _streamed(spark, sf_dir).silver.read(spark).drop("ingested_at")
+
+
+def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files to the published index through the stream."""
+    return _streamed(spark, sf_dir).gold.read(spark).select(*fx.GOLD_COLUMNS)
 
 
 # --- serving --------------------------------------------------------------------------
@@ -358,8 +484,8 @@ def country_pickers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pair_named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index of one pair: silver is cut to it before anything is aggregated."""
-    rows = serving.for_pair(_silver(spark, sf_dir, *fx.INDEX_COLUMNS), CFG, *PAIR)
+    """The index of one pair: only its events go through deduplication as wide rows."""
+    rows = _silver(spark, sf_dir, *fx.INDEX_COLUMNS, only=serving.pair_codes(CFG, *PAIR))
     return serving.with_country_names(gold.monthly_index(rows, CFG), CFG)
 
 
@@ -384,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "essential_not_null": essential_not_null,
     "dedup_events": dedup_events,
     "duplicate_ids": duplicate_ids,
+    "duplicates_exist": duplicates_exist,
     "unrest_counts": _pair_month("total_events", "geo_unrest_score"),
     "gov_flow_counts": _pair_month(*_FLOWS),
     "gov_flow_counts_null_nongov": _pair_month(*_FLOWS, cfg=NULL_IS_NONGOV),
@@ -402,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "tsv_roundtrip": tsv_roundtrip,
     "zip_roundtrip": zip_roundtrip,
     "damaged_archives": damaged_archives,
+    "archive_files": archive_files,
+    "landing_strays": landing_names,
     "bronze_cast": bronze_cast,
     "bronze_replay": bronze_replay,
     "silver_latest_file_wins": silver_latest_file_wins,
@@ -415,7 +544,11 @@ QUERIES: dict[str, Query] = {
     "backfill_plan": backfill_plan,
     "backfill_gold": backfill_gold,
     "backfill_tables": backfill_tables,
+    "daily_run": daily_run,
+    "gold_pruned": gold_pruned,
+    "layout_skipping": layout_skipping,
     "stream_silver": stream_silver,
+    "stream_gold": stream_gold,
     "affected_months": affected_months,
     "country_names": country_names,
     "country_pickers": country_pickers,

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Collection
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -31,13 +33,19 @@ class Days:
         every = {first + dt.timedelta(days=i) for i in range((last - first).days + 1)}
         return cls(first, last + dt.timedelta(days=1), frozenset(every - set(days)))
 
+    def each(self) -> list[dt.date]:
+        every = (self.start + dt.timedelta(days=i) for i in range((self.end - self.start).days))
+        return [d for d in every if d not in self.skip]
+
+    def without(self, days: Collection[dt.date]) -> Days:
+        return Days(self.start, self.end, self.skip | frozenset(days))
+
     def _among(self, value: Column, render: Callable[[dt.date], object]) -> Column:
         """Membership as a range plus the shorter of the two lists of days."""
         hit = (value >= F.lit(render(self.start))) & (value < F.lit(render(self.end)))
         if not self.skip:
             return hit
-        kept = [d for i in range((self.end - self.start).days)
-                if (d := self.start + dt.timedelta(days=i)) not in self.skip]
+        kept = self.each()
         if len(kept) < len(self.skip):
             return hit & value.isin([render(d) for d in kept])
         return hit & ~value.isin([render(d) for d in sorted(self.skip)])
@@ -81,6 +89,22 @@ def within_months(date: Column, first: dt.date, end: dt.date) -> Column:
     return (date >= F.lit(first)) & (date < F.lit(end))
 
 
+def month_after(month: dt.date) -> dt.date:
+    return (month.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+
+
+def in_months(date: Column, months: Collection[dt.date]) -> Column:
+    """``date`` lies in one of these months, given by their first days: one range for each
+    run of months, which prunes and is pushed to scans as comparisons."""
+    runs: list[list[dt.date]] = []
+    for month in sorted(set(months)):
+        if runs and runs[-1][1] == month:
+            runs[-1][1] = month_after(month)
+        else:
+            runs.append([month, month_after(month)])
+    return reduce(or_, [within_months(date, lo, hi) for lo, hi in runs]) if runs else F.lit(False)
+
+
 def slot_digits(path: Column) -> Column:
     """yyyyMMddHHmmss of a landed file, the empty string for any other file."""
     return F.regexp_extract(path, _SLOT_IN_PATH, 1)

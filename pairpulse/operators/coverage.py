@@ -10,12 +10,16 @@ from pairpulse.functions.dates import days_in_month, month_of
 
 
 def event_dates(silver: DataFrame) -> DataFrame:
-    """Distinct event dates with their month. On the stored table this touches
-    partition values only."""
+    """Distinct event dates with their month. Of the stored table this reads one column."""
     return (silver.select("event_date").distinct()
             .select(month_of(F.col("event_date")).alias("year_month"), "event_date"))
 
 
+def event_days(silver: DataFrame) -> DataFrame:
+    """Events by file date and event date."""
+    return silver.groupBy("input_file_date", "event_date").agg(F.count(F.lit(1)).alias("events"))
+
+
 def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """Days ``start <= day < end``."""
     return spark.range(1).select(

@@ -6,6 +6,7 @@ aggregation; :func:`enforce` reads its dozen rows and raises once with all failu
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -20,7 +21,11 @@ INFORMATIONAL = frozenset({"malformed_lines", "read_errors", "null_ids", "null_s
 
 
 class QualityError(ValueError):
-    """A layer broke one of its rules."""
+    """A layer broke one of its rules; ``days`` are the days or months without rows, if it was that."""
+
+    def __init__(self, message: str, days: Collection[dt.date] = ()) -> None:
+        super().__init__(message)
+        self.days = sorted(days)
 
 
 def check_columns(df: DataFrame, expected: T.StructType, layer: str) -> None:
@@ -52,33 +57,47 @@ def _extra(distinct: Column) -> Column:
     return F.greatest(distinct - 1, F.lit(0))
 
 
-def bronze_report(bronze: DataFrame, days: Days | None = None) -> DataFrame:
-    """``bronze`` may carry the reader's diagnostics. With ``days`` every file date
-    must be one of them, which also covers "one file date" for a single day."""
+def bronze_checks(columns: Collection[str], days: Days | None = None) -> dict[str, Column]:
+    """Counts over bronze rows, by name. ``columns`` may hold the reader's diagnostics."""
     failed = (F.col(schema.READ_ERROR).isNotNull()
-              if schema.READ_ERROR in bronze.columns else F.lit(False))
+              if schema.READ_ERROR in columns else F.lit(False))
     line = ~failed
     checks = {
         "empty": _empty(F.count_if(line)),
-        "extra_file_dates": _extra(F.count_distinct(F.when(line, F.col("input_file_date")))),
         "null_file_dates": F.count_if(line & F.col("input_file_date").isNull()),
         "null_ids": F.count_if(line & F.col("GlobalEventID").isNull()),
     }
     if days is not None:
         checks["unexpected_file_dates"] = F.count_if(
             line & ~days.contains(F.col("input_file_date")))
-    if schema.MALFORMED in bronze.columns:
+    if schema.MALFORMED in columns:
         checks["malformed_lines"] = F.count_if(F.col(schema.MALFORMED))
-    if schema.READ_ERROR in bronze.columns:
+    if schema.READ_ERROR in columns:
         checks["read_errors"] = F.count_if(failed)
+    return checks
+
+
+def line_dates(columns: Collection[str]) -> Column:
+    """The file dates of bronze rows that are lines; NULL for one that is a read error."""
+    date = F.col("input_file_date")
+    return F.when(F.col(schema.READ_ERROR).isNull(), date) if schema.READ_ERROR in columns else date
+
+
+def bronze_report(bronze: DataFrame, days: Days | None = None) -> DataFrame:
+    """``bronze`` may carry the reader's diagnostics. With ``days`` every file date
+    must be one of them, which also covers "one file date" for a single day."""
+    checks = bronze_checks(bronze.columns, days) | {
+        "extra_file_dates": _extra(F.count_distinct(line_dates(bronze.columns)))}
     return _long(bronze.agg(*_counts(checks)))
 
 
-def silver_report(silver: DataFrame, days: Days | None = None) -> DataFrame:
-    """Rows are folded per (file date, id) first, which finds duplicates and is
-    combined on the map side; everything else is counted on the folded rows."""
-    folded = silver.groupBy("input_file_date", "GlobalEventID").agg(
-        F.count(F.lit(1)).alias("copies"))
+def _folded(silver: DataFrame) -> DataFrame:
+    """Rows folded per (file date, id), which finds duplicates and combines on the map side."""
+    return silver.groupBy("input_file_date", "GlobalEventID").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _silver_checks(days: Days | None) -> dict[str, Column]:
+    """Counts over folded rows."""
     checks = {
         "empty": _empty(F.sum("copies")),
         "extra_file_dates": _extra(F.count_distinct("input_file_date")),
@@ -88,18 +107,29 @@ def silver_report(silver: DataFrame, days: Days | None = None) -> DataFrame:
     if days is not None:
         checks["unexpected_file_dates"] = F.sum(
             F.when(~days.contains(F.col("input_file_date")), F.col("copies")))
-    return _long(folded.agg(*_counts(checks)))
+    return checks
 
 
-def gold_report(gold: DataFrame) -> DataFrame:
-    """Range and consistency of the index. NULL scores pass the range checks, as a
-    NULL predicate does, and are counted on their own."""
+def silver_report(silver: DataFrame, days: Days | None = None) -> DataFrame:
+    """Rows are folded per (file date, id) first; everything else is counted on the folded rows."""
+    return _long(_folded(silver).agg(*_counts(_silver_checks(days))))
+
+
+def silver_counts(silver: DataFrame, days: Days) -> tuple[dict[str, int], set[dt.date]]:
+    """The report of ``silver_report`` and the file dates that have rows, in one pass."""
+    dates = F.collect_set("input_file_date").alias("file_dates")  # at most the days
+    row = _folded(silver).agg(*_counts(_silver_checks(days)), dates).first().asDict()
+    return row, set(row.pop("file_dates"))
+
+
+def gold_checks() -> dict[str, Column]:
+    """Range and consistency of the index, by name. NULL scores pass the range checks, as
+    a NULL predicate does, and are counted on their own."""
     share, score = F.col("pol_involve_score"), F.col("suri_score")
     drift = F.abs(score - F.col("geo_unrest_score") * share)
     counts = [F.col(c) for c in schema.GOLD_COUNTS]
-    checks = {
+    return {
         "empty": _empty(F.count(F.lit(1))),
-        "extra_months": _extra(F.count_distinct("year_month")),
         "no_events": F.count_if(F.col("total_events") <= 0),
         "negative_unrest": F.count_if(F.col("geo_unrest_score") < 0),
         "involvement_out_of_range": F.count_if((share < 0) | (share > 1)),
@@ -108,12 +138,21 @@ def gold_report(gold: DataFrame) -> DataFrame:
         "null_scores": F.count_if(share.isNull() | score.isNull()),
         "count_overflow": F.count_if(F.greatest(*counts) > _INT_MAX),
     }
+
+
+def gold_report(gold: DataFrame) -> DataFrame:
+    """The checks of ``gold_checks``, and that the rows are of one month."""
+    checks = gold_checks() | {"extra_months": _extra(F.count_distinct("year_month"))}
     return _long(gold.agg(*_counts(checks)))
 
 
 def enforce(report: DataFrame, layer: str, ignore: Collection[str] = ()) -> dict[str, int]:
     """Read the report (a fixed, small number of rows) and raise if a rule is broken."""
-    found = {r.check_name: r.violations for r in report.collect()}
+    return enforce_counts({r.check_name: r.violations for r in report.collect()}, layer, ignore)
+
+
+def enforce_counts(found: dict[str, int], layer: str, ignore: Collection[str] = ()) -> dict[str, int]:
+    """Raise once with all rules that are broken."""
     broken = {k: v for k, v in found.items()
               if v and k not in INFORMATIONAL and k not in ignore}
     if broken:

@@ -38,12 +38,18 @@ def country_choices(named: DataFrame, side: str) -> DataFrame:
             .orderBy(F.col("country").asc_nulls_last()))
 
 
+def pair_codes(cfg: EngineConfig, source: str, target: str) -> dict[str, list[str]]:
+    """The codes of one ordered pair of readable names, by column."""
+    return {column: [c for c, n in cfg.country_names.items() if n == name]
+            for column, name in (("Actor1CountryCode", source), ("Actor2CountryCode", target))}
+
+
 def for_pair(rows: DataFrame, cfg: EngineConfig, source: str, target: str) -> DataFrame:
     """Rows of one ordered pair of readable names, by code: a filter that reaches the scan
     of silver or of the index, which are laid out by code."""
-    codes = [[c for c, n in cfg.country_names.items() if n == name] for name in (source, target)]
-    return rows.filter(F.col("Actor1CountryCode").isin(codes[0])
-                       & F.col("Actor2CountryCode").isin(codes[1]))
+    for column, codes in pair_codes(cfg, source, target).items():
+        rows = rows.filter(F.col(column).isin(codes))
+    return rows
 
 
 def select_pair(named: DataFrame, source: str, target: str) -> DataFrame:

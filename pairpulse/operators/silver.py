@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pairpulse import schema
 from pairpulse.config import EngineConfig
@@ -84,14 +84,36 @@ def clean_events(bronze: DataFrame, cfg: EngineConfig) -> DataFrame:
     return require_essentials(focus_filter(events.select(*columns), cfg), cfg)
 
 
-def to_silver(bronze: DataFrame, cfg: EngineConfig,
-              needed: Collection[str] | None = None) -> DataFrame:
-    """The layer, whole or reduced to the ``needed`` columns. Filters run before the
-    only shuffle, and only columns that matter go through it."""
+def dedup_matching(events: DataFrame, only: Mapping[str, Collection[str]], cfg: EngineConfig) -> DataFrame:
+    """The rows that ``dedup_events`` keeps and whose columns have one of the given values.
+
+    A match may lose to a copy that is none, so all copies have to meet, but with no more
+    than the leading columns that are compared. The other columns travel with matches only:
+    one scan and one shuffle, whose wide part is as small as the answer. Where the least of
+    the leading columns is a match, the least match is the least copy.
+    """
+    key = dedup_key(cfg)
+    rest = tie_break_order([c for c in events.columns if c not in key])
+    leading = rest[:max(rest.index(c) for c in only) + 1]
+
+    def matches(prefix: str) -> Column:
+        return reduce(and_, [F.col(prefix + c).isin(list(values)) for c, values in only.items()])
+
+    kept = (events.groupBy(*key)
+            .agg(F.min(F.struct(*leading)).alias("first"), F.min(F.when(matches(""), F.struct(*rest))).alias("kept"))
+            .filter(matches("first.")))
+    return kept.select(*[F.col(c) if c in key else F.col(f"kept.{c}").alias(c) for c in events.columns])
+
+
+def to_silver(bronze: DataFrame, cfg: EngineConfig, needed: Collection[str] | None = None,
+              only: Mapping[str, Collection[str]] | None = None) -> DataFrame:
+    """The layer, whole or reduced to the ``needed`` columns and to rows with ``only`` these
+    values. Filters run before the only shuffle, and only columns that matter go through it."""
     events = clean_events(bronze, cfg)
-    if needed is None:
-        return dedup_events(events, cfg)
-    return dedup_events(events.select(*carried_columns(needed, cfg)), cfg).select(*needed)
+    if needed is not None:
+        events = events.select(*carried_columns({*needed, *(only or ())}, cfg))
+    kept = dedup_matching(events, only, cfg) if only else dedup_events(events, cfg)
+    return kept if needed is None else kept.select(*needed)
 
 
 def duplicate_ids(events: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -100,21 +122,28 @@ def duplicate_ids(events: DataFrame, cfg: EngineConfig) -> DataFrame:
             .filter(F.col("copies") > 1))
 
 
-def has_duplicates(events: DataFrame, cfg: EngineConfig) -> bool:
-    return not duplicate_ids(events, cfg).isEmpty()
+def duplicate_exists(events: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """One row, ``has_duplicates``: whether any key is held by more than one row."""
+    return duplicate_ids(events, cfg).limit(1).agg((F.count(F.lit(1)) > 0).alias("has_duplicates"))
 
 
 def latest_file_wins(silver: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Per event date only the rows of the last file date that touched it.
 
-    This is what remains when every file date overwrites whole event dates. ``dates`` are
-    the same rows with their two dates only, so that wide rows are computed once. The
-    right side has one row per calendar day that occurs, so measured sizes normally make
-    the join a broadcast. A window over event dates would gather a hot date in one task.
+    This is what remains when every file date overwrites whole event dates. The right side
+    has one row of two dates per calendar day that occurs, at most 3.3 million for years of
+    four digits, or 30 MB: it is broadcast, which spares the wide rows a second shuffle. A
+    window over event dates would gather a hot date in one task.
+
+    ``dates`` has the two dates of the same rows: of stored silver give the table of event
+    days, which loads keep up to date. Without it they come from ``silver`` itself, whose
+    shuffle both sides of the join share: what is computed once is wide, and nothing twice.
     """
+    # A row without a file date is never the last; said for both sides, so that they stay alike.
+    silver = silver.filter(F.col("input_file_date").isNotNull())
     latest = ((silver if dates is None else dates).groupBy(F.col("event_date").alias("d"))
               .agg(F.max("input_file_date").alias("last")))
     return silver.join(
-        latest,
+        F.broadcast(latest),
         (F.col("event_date") == F.col("d")) & (F.col("input_file_date") == F.col("last")),
         "left_semi")

@@ -11,7 +11,7 @@ from pairpulse.config import HISTORY_START, outage_days
 from pairpulse.functions.dates import Days, is_month_end, month_of
 from pairpulse.operators import coverage
 from pairpulse.plans.jobs import run_bronze, run_gold, run_silver
-from pairpulse.sinks.tables import Lake
+from pairpulse.sinks.tables import Lake, stored_event_days
 
 
 def with_plan(days: DataFrame) -> DataFrame:
@@ -75,8 +75,7 @@ def run_refresh(spark: SparkSession, lake: Lake, days: Days,
                 ingested_at: dt.datetime | None = None) -> list[dt.date]:
     """Rebuild the index of every published month that the given file dates touch, so
     that events that came late are counted."""
-    silver = lake.silver.read(spark).filter(days.contains(F.col("input_file_date")))
-    touched = coverage.affected_months(silver).select("year_month").distinct()
+    touched = coverage.affected_months(stored_event_days(spark, lake, days)).select("year_month").distinct()
     published = lake.gold.read(spark).select("year_month").distinct()
     due = {r.year_month: False
            for r in touched.join(published, "year_month", "left_semi").collect()}

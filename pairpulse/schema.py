@@ -154,6 +154,25 @@ avg_tone DOUBLE -- Mean AvgTone.
 ingested_at TIMESTAMP -- When the row was computed.
 """)
 
+# What each file date of silver has events for.
+EVENT_DAYS = _struct("""
+event_date DATE -- Day the events are of.
+events BIGINT -- Events of that day in files of this date.
+input_file_date DATE -- File date of silver.
+""")
+
+_DATES = T.ArrayType(T.DateType())
+# A row for each batch of a stream. Lists hold one date per day or month at most.
+STREAM_BATCHES = T.StructType([
+    T.StructField("state", T.StringType(), True, {"comment": "started or done."}),
+    T.StructField("file_dates", _DATES, True, {"comment": "File dates of the files of the batch."}),
+    T.StructField("set_aside", _DATES, True, {"comment": "Those of them without a row in silver."}),
+    T.StructField("months", _DATES, True, {"comment": "Months whose index the batch may change."}),
+    T.StructField("built", _DATES, True, {"comment": "Those of them that have an index now."}),
+    T.StructField("stream", T.StringType(), True, {"comment": "Name made from the checkpoint."}),
+    T.StructField("batch_id", T.LongType(), True, {"comment": "Number the stream gave the batch."}),
+])
+
 # Gold columns that follow EngineConfig.measure_type.
 GOLD_COUNTS = [f.name for f in GOLD if f.dataType == T.IntegerType()]
 

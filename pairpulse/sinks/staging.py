@@ -9,10 +9,12 @@ was already staged.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; without it, one below the
@@ -28,8 +30,10 @@ def new_scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def _stage_database(spark: SparkSession) -> str:
-    name = "pairpulse_stage"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch_root(spark)}/{name}'")
+    """One for each scratch folder, as a catalog that lasts keeps the folder of a database."""
+    root = scratch_root(spark)
+    name = f"pairpulse_stage_{zlib.crc32(root.encode()):08x}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/{name}'")
     return name
 
 
@@ -49,3 +53,17 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@contextmanager
+def staged_and_counted(df: DataFrame, label: str,
+                       metrics: dict[str, Column]) -> Iterator[tuple[DataFrame, dict[str, Any]]]:
+    """``staged``, and aggregates over its rows that are taken while they are written.
+
+    Rows are counted by the tasks that write them, each task once, so the counts are those
+    of the staged table. Distinct aggregates are not possible here.
+    """
+    observation = Observation()
+    watched = df.observe(observation, *[c.alias(n) for n, c in metrics.items()])
+    with staged(watched, label) as rows:
+        yield rows, observation.get

@@ -4,23 +4,32 @@
 * silver: partitioned by file date, event date leading the order of its rows; a load
   replaces *all* rows of the file dates it covers and nothing else, so late events from
   one file never remove what other files said about the same day;
-* gold: partitioned by month; a load replaces the months it has rows for.
+* gold: partitioned by month; a load replaces the months it has rows for;
+* event days: for each file date of silver the days it has events for, and how many. A
+  month is read from the file dates that this table names, and from those it lacks;
+* stream batches: what a stream has done with each of its batches.
+
+That an insert replaces the partitions it has rows for, and no others, is a property of
+the tables, so no insert depends on what another one sets in the session.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import datetime as dt
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pairpulse import schema
 from pairpulse.config import EngineConfig
-from pairpulse.functions.dates import Days
+from pairpulse.functions.dates import Days, in_months
 from pairpulse.functions.zorder import z_key
+from pairpulse.operators import coverage
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_REPLACES_PARTITIONS = ("partitionOverwriteMode", "dynamic")
+#: Partitions that one statement drops.
+_DROPPED_AT_ONCE = 500
 
 
 @dataclass(frozen=True)
@@ -40,11 +49,14 @@ class Table:
         data = [c for c in self.schema.names if c not in self.partitioned_by]
         return data + list(self.partitioned_by)
 
-    def create_sql(self) -> str:
+    def create_sql(self, location: str | None = None) -> str:
         keys = ", ".join(f"`{c}`" for c in self.partitioned_by)
         ordered = T.StructType([self.schema[c] for c in self.stored_columns])
+        option = "{} '{}'".format(*_REPLACES_PARTITIONS)
+        where = f"\nLOCATION '{location}'" if location else ""
         return (f"CREATE TABLE IF NOT EXISTS {self.name} (\n  {schema.columns_ddl(ordered)}\n)\n"
-                f"USING parquet\nPARTITIONED BY ({keys})\nCOMMENT '{self.comment}'")
+                f"USING parquet\nOPTIONS ({option})\nPARTITIONED BY ({keys}){where}\n"
+                f"COMMENT '{self.comment}'")
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Rows in schema order. Filters on partition columns prune directories."""
@@ -53,7 +65,7 @@ class Table:
 
 @dataclass(frozen=True)
 class Lake:
-    """The three tables. ``prefix`` keeps several lakes apart in one catalog."""
+    """The tables. ``prefix`` keeps several lakes apart in one catalog."""
 
     prefix: str = ""
     cfg: EngineConfig = EngineConfig()
@@ -69,40 +81,52 @@ class Lake:
                      ("input_file_date",),
                      "Clean events between focus countries, one row per id and file date.")
 
+    @property
+    def event_days(self) -> Table:
+        return Table(f"{self.prefix}silver.event_days", schema.EVENT_DAYS, ("input_file_date",),
+                     "Days that each file date of silver has events for.")
+
     @property
     def gold(self) -> Table:
         return Table(f"{self.prefix}gold.suri", schema.gold_schema(self.cfg.measure_type),
                      ("year_month",), "Monthly directional unrest index per country pair.")
 
+    @property
+    def stream_batches(self) -> Table:
+        return Table(f"{self.prefix}silver.stream_batches", schema.STREAM_BATCHES, ("stream", "batch_id"),
+                     "What a stream has done with each of its batches.")
+
     def create(self, spark: SparkSession, root: str | None = None) -> None:
-        """Create what does not exist yet, below ``root`` if one is given."""
+        """Create what does not exist yet.
+
+        With ``root`` the tables are external ones in folders below it, and the partitions
+        found there are registered: a process whose catalog does not know the tables picks
+        up what another one has published. Without it they are managed by a catalog that
+        lasts. A catalog that does not last sees partitions as of this call, so processes
+        that share a root take turns.
+        """
         purpose = {"bronze": "Event lines as they came, typed",
                    "silver": "Events between focus countries, one row per id",
                    "gold": "Monthly index per country pair"}
-        for layer, table in (("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold)):
+        for table in (self.bronze, self.silver, self.event_days, self.stream_batches, self.gold):
             where = f" LOCATION '{root}/{table.database}'" if root else ""
+            layer = table.database.removeprefix(self.prefix)
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.database} "
                       f"COMMENT '{purpose[layer]}'{where}")
-            spark.sql(table.create_sql())
-
-
-@contextmanager
-def _replace_partitions(spark: SparkSession) -> Iterator[None]:
-    """Dynamic overwrite for one insert; the writer option is not read by inserts."""
-    before = spark.conf.get(_OVERWRITE_MODE, None)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_OVERWRITE_MODE)
-        else:
-            spark.conf.set(_OVERWRITE_MODE, before)
+            folder = f"{root}/{table.database}/{table.name.rsplit('.', 1)[1]}" if root else None
+            spark.sql(table.create_sql(folder))
+            if folder and _file_system(spark, folder).exists(_path(spark, folder)):
+                spark.sql(f"ALTER TABLE {table.name} RECOVER PARTITIONS")
 
 
 def _insert(df: DataFrame, table: Table) -> None:
-    with _replace_partitions(df.sparkSession):
-        df.select(*table.stored_columns).write.insertInto(table.name, overwrite=True)
+    """Replace the partitions present in ``df``, if the table was made to do so."""
+    definition = df.sparkSession.sql(f"SHOW CREATE TABLE {table.name}").first()[0]
+    option = "'{}' = '{}'".format(*_REPLACES_PARTITIONS)
+    if option.lower() not in definition.lower():
+        raise ValueError(f"{table.name}: an insert would replace the whole table; "
+                         f"ALTER TABLE {table.name} SET SERDEPROPERTIES ({option.replace(' ', '')}) first")
+    df.select(*table.stored_columns).write.insertInto(table.name, overwrite=True)
 
 
 def publish(df: DataFrame, table: Table) -> None:
@@ -131,22 +155,98 @@ def partition_values(spark: SparkSession, table: Table) -> DataFrame:
         for c in table.partitioned_by])
 
 
-def publish_silver(silver: DataFrame, table: Table, days: Days, cfg: EngineConfig) -> int:
+def drop_partitions(spark: SparkSession, table: Table, values: Collection[dt.date]) -> None:
+    """Drop the partitions of these dates with their files; others are left alone.
+    One short specification per date: bounded by the calendar, not by the data."""
+    key = table.partitioned_by[0]
+    ordered = sorted(values)
+    folder = _external_folder(spark, table) if ordered else None
+    for i in range(0, len(ordered), _DROPPED_AT_ONCE):
+        part = ordered[i:i + _DROPPED_AT_ONCE]
+        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS "
+                  + ", ".join(f"PARTITION ({key}=DATE'{d}')" for d in part))
+        for d in part if folder else ():  # the catalog leaves the files of external tables
+            _file_system(spark, folder).delete(_path(spark, f"{folder}/{key}={d}"), True)
+
+
+def _path(spark: SparkSession, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def _file_system(spark: SparkSession, name: str):
+    return _path(spark, name).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _external_folder(spark: SparkSession, table: Table) -> str | None:
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").collect()}
+    return facts["Location"] if facts.get("Type") == "EXTERNAL" else None
+
+
+def _dates(rows: DataFrame) -> set[dt.date]:
+    """One column of distinct dates: at most one row per calendar day."""
+    return {r[0] for r in rows.collect()}
+
+
+def publish_silver(silver: DataFrame, table: Table, days: Days, cfg: EngineConfig,
+                   event_days: Table | None = None, dates: Collection[dt.date] | None = None) -> int:
     """Replace exactly the rows of the file dates ``days``; returns dropped partitions.
 
-    The insert replaces the directories of file dates that have rows now. Those of the
-    days that have none are dropped after it; the jobs never get there, as they stop at
-    a day without rows. Event date leads the order, so row groups skip on it.
+    The insert replaces the directories of file dates that have rows now; those of the
+    days that have none are dropped after it. Event date leads the order, so row groups
+    skip on it. ``event_days`` forgets these file dates first and learns them last: one that
+    it does not know is read for every month, so no state in between hides rows.
 
-    ``silver`` should be staged: its file dates are read a second time.
+    ``silver`` should be staged: its dates are read again. ``dates`` are the file dates it
+    has rows of, if they are known.
     """
     spark = silver.sparkSession
     key = "input_file_date"
-    _insert(clustered(silver, cfg, [key, "event_date"]), table)
-    stale = (partition_values(spark, table).filter(days.contains(F.col(key)))
-             .join(silver.select(key).distinct(), key, "left_anti"))
-    # One row per day to drop: bounded by the days covered, not by the data.
-    specs = [f"PARTITION ({key}=DATE'{r[key]}')" for r in stale.collect()]
-    for i in range(0, len(specs), 500):
-        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS " + ", ".join(specs[i:i + 500]))
-    return len(specs)
+
+    def stored(of: Table) -> set[dt.date]:
+        return _dates(partition_values(spark, of).filter(days.contains(F.col(key))))
+
+    if event_days:
+        drop_partitions(spark, event_days, stored(event_days))
+    dates = set(_dates(silver.select(key).distinct()) if dates is None else dates)
+    if dates:
+        _insert(clustered(silver, cfg, [key, "event_date"]), table)
+    stale = stored(table) - dates
+    drop_partitions(spark, table, stale)
+    if event_days and dates:
+        publish(coverage.event_days(silver), event_days)
+    return len(stale)
+
+
+def file_dates_of(spark: SparkSession, lake: Lake, months: Collection[dt.date]) -> set[dt.date]:
+    """File dates of silver that may have events of these months: those of which
+    ``event_days`` says so, and those it does not know."""
+    known = lake.event_days.read(spark)
+    named = _dates(known.filter(in_months(F.col("event_date"), months)).select("input_file_date").distinct())
+    unknown = _dates(partition_values(spark, lake.silver).join(
+        partition_values(spark, lake.event_days), "input_file_date", "left_anti"))
+    return named | unknown
+
+
+def stored_event_days(spark: SparkSession, lake: Lake, days: Days) -> DataFrame:
+    """``input_file_date, event_date`` of the stored file dates of these days: from
+    ``event_days``, and from silver for those it does not know."""
+    key = F.col("input_file_date")
+    known = lake.event_days.read(spark).filter(days.contains(key)).select("input_file_date", "event_date")
+    unknown = _dates(partition_values(spark, lake.silver).filter(days.contains(key)).join(
+        partition_values(spark, lake.event_days), "input_file_date", "left_anti"))
+    if not unknown:
+        return known
+    rest = lake.silver.read(spark).filter(Days.of(unknown).contains(key))
+    return known.unionByName(coverage.event_days(rest).select("input_file_date", "event_date"))
+
+
+def silver_of_months(spark: SparkSession, lake: Lake, months: Collection[dt.date],
+                     before: dt.date | None = None) -> DataFrame:
+    """Silver rows of these months, from file dates before ``before``. Opens the partitions
+    that may have some and no others, however long the history is."""
+    dates = {d for d in file_dates_of(spark, lake, months) if before is None or d < before}
+    rows = lake.silver.read(spark)
+    if not dates:
+        return rows.filter(F.lit(False))
+    return rows.filter(Days.of(dates).contains(F.col("input_file_date"))
+                       & in_months(F.col("event_date"), months))

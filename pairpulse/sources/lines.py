@@ -16,13 +16,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pairpulse import schema
 from pairpulse.functions.dates import Days, path_in_days
+from pairpulse.sources.landing import paths_of
 
 _CORRUPT = "_corrupt_record"
 _PARSED = T.StructType(schema.RAW.fields + [T.StructField(_CORRUPT, T.StringType())])
 _LINES_PER_BATCH = 8192
 _BLOCK = 1 << 20
+# Read errors with a text of their own; any other names what went wrong.
+TOO_LARGE, NO_MEMBER = "larger than an archive may be", "no .CSV member"
 # Spark's limit for the content of one binary file.
 MAX_ARCHIVE_BYTES = 2**31 - 1 - 1024
+_DIAGNOSTICS = [T.StructField(schema.MALFORMED, T.BooleanType()), T.StructField(schema.SOURCE_PATH, T.StringType()),
+                T.StructField(schema.READ_ERROR, T.StringType())]
 _LINES = "source_path string, line string, read_error string"
 
 
@@ -37,10 +42,13 @@ def csv_options(quote: str = "") -> dict[str, str]:
 
 def read_tsv(spark: SparkSession, landing: str, days: Days | None = None,
              quote: str = "") -> DataFrame:
-    """Scan of all plain files below ``landing`` (a folder or a glob). Predicates on the
+    """Scan of all plain files below ``landing`` (see ``landing.py``). Predicates on the
     path are applied to the listing: ``days`` prunes it, and archives are passed over."""
+    paths = paths_of(spark, landing, days)
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*schema.RAW.fields, *_DIAGNOSTICS]))
     lines = (spark.read.schema(_PARSED).options(**csv_options(quote))
-             .option("recursiveFileLookup", "true").csv(landing))
+             .option("recursiveFileLookup", "true").csv(paths))
     path = F.col("_metadata.file_path")
     lines = lines.filter(~path.endswith(".zip"))
     if days is not None:
@@ -52,14 +60,19 @@ def read_tsv(spark: SparkSession, landing: str, days: Days | None = None,
         F.lit(None).cast("string").alias(schema.READ_ERROR))
 
 
-def list_archives(spark: SparkSession, landing: str, days: Days | None = None) -> DataFrame:
-    """``path, content`` of every archive below ``landing``; no content if it is too large."""
+def list_archives(spark: SparkSession, landing: str, days: Days | None = None,
+                  max_bytes: int = MAX_ARCHIVE_BYTES) -> DataFrame:
+    """``path, content`` of every archive below ``landing``; no content if it is larger
+    than ``max_bytes``."""
+    paths = paths_of(spark, landing, days)
+    if not paths:
+        return spark.createDataFrame([], "path string, content binary")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.zip").load(landing))
+             .option("pathGlobFilter", "*.zip").load(paths))
     if days is not None:
         files = files.filter(path_in_days(F.col("_metadata.file_path"), days))
     # A pushed filter on the length keeps the content of larger files from being read.
-    fits = F.col("length") <= MAX_ARCHIVE_BYTES
+    fits = F.col("length") <= max_bytes
     return files.filter(fits).select("path", "content").unionByName(
         files.filter(~fits).select("path", F.lit(None).cast("binary").alias("content")))
 
@@ -75,13 +88,13 @@ def _lines_of(path: str, content: bytes | None) -> Iterator[pd.DataFrame]:
     then to give its lines. A damaged archive therefore gives no line at all.
     """
     if content is None:
-        yield _frame(path, [None], f"larger than {MAX_ARCHIVE_BYTES} bytes")
+        yield _frame(path, [None], TOO_LARGE)
         return
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             members = [n for n in archive.namelist() if n.endswith(".CSV")]
             if not members:
-                yield _frame(path, [None], "no .CSV member")
+                yield _frame(path, [None], NO_MEMBER)
                 return
             with archive.open(members[0]) as raw:
                 while raw.read(_BLOCK):
@@ -121,5 +134,5 @@ def unpack_archives(archives: DataFrame, quote: str = "") -> DataFrame:
 
 
 def read_archives(spark: SparkSession, landing: str, days: Days | None = None,
-                  quote: str = "") -> DataFrame:
-    return unpack_archives(list_archives(spark, landing, days), quote)
+                  quote: str = "", max_bytes: int = MAX_ARCHIVE_BYTES) -> DataFrame:
+    return unpack_archives(list_archives(spark, landing, days, max_bytes), quote)

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairpulse.config import SLOT_SUFFIX, EngineConfig
-from pairpulse.functions.dates import Days, file_date, path_in_days, slot_digits
+from pairpulse.functions.dates import Days, file_date, slot_digits
+from pairpulse.sources.landing import landed_files
 
 
 class NoInputError(RuntimeError):
-    """A day to be loaded has no file at all."""
+    """A day to be loaded has no file at all; ``days`` are all such days."""
+
+    def __init__(self, days: Collection[dt.date]) -> None:
+        super().__init__(f"no file arrived for {', '.join(map(str, days))}")
+        self.days = list(days)
 
 
 def slot_name(cfg: EngineConfig, stamp: Column) -> Column:
@@ -30,14 +38,11 @@ def landed_slots(spark: SparkSession, landing: str, cfg: EngineConfig, days: Day
                  archives: bool | None = None) -> DataFrame:
     """Slots present in the landing area: as archives, as plain files, or (None) either.
     Reads the listing, never the content."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing))
-    path = F.col("_metadata.file_path")
-    if days is not None:
-        files = files.filter(path_in_days(path, days))
+    files = landed_files(spark, landing, days)
+    path = F.col("path")
     if archives is not None:
         files = files.filter(path.endswith(".zip") if archives else ~path.endswith(".zip"))
-    stamped = files.select(path.alias("path")).select(
-        file_date(F.col("path")).alias("file_date"), slot_digits(F.col("path")).alias("digits"))
+    stamped = files.select(file_date(path).alias("file_date"), slot_digits(path).alias("digits"))
     return (stamped.filter(F.col("file_date").isNotNull()).distinct()
             .select("file_date", F.concat(F.lit(cfg.slot_prefix), F.col("digits"),
                                           F.lit(SLOT_SUFFIX)).alias("slot")))
@@ -59,7 +64,7 @@ def arrivals_per_day(expected: DataFrame, arrived: DataFrame) -> DataFrame:
 
 def require_arrivals(arrivals: DataFrame) -> None:
     """Partial days pass; a day without any file does not. The rows read here are days."""
-    empty = [str(r.file_date) for r in
+    empty = [r.file_date for r in
              arrivals.filter("arrived_slots = 0").orderBy("file_date").collect()]
     if empty:
-        raise NoInputError(f"no file arrived for {', '.join(empty)}")
+        raise NoInputError(empty)

@@ -220,7 +220,8 @@ def test_one_id_holding_most_rows(spark):
 def test_duplicates(spark):
     df = silver.clean_events(bronze(spark, {}, {}, {"GlobalEventID": 2}), CFG)
     assert rows(silver.duplicate_ids(df, CFG), "GlobalEventID", "copies") == [(1, 2)]
-    assert silver.has_duplicates(df, CFG) and not silver.has_duplicates(silver.dedup_events(df, CFG), CFG)
+    assert silver.duplicate_exists(df, CFG).first()[0]
+    assert not silver.duplicate_exists(silver.dedup_events(df, CFG), CFG).first()[0]
 
 
 def test_latest_file_wins_equals_one_write_per_file_date(spark):

@@ -85,12 +85,17 @@ def test_a_pair_is_cut_out_by_code_in_the_scan(spark, lake):
             assert f"EqualTo({code})" in text
 
 
-def test_latest_file_carries_wide_rows_once(spark):
+def test_latest_file_computes_wide_rows_once(spark):
     from pairpulse.catalogue.queries import QUERIES
 
-    text = plan(QUERIES["silver_latest_file_wins"](spark, SMALL))
-    wide = [x for x in re.findall(r"min\(struct\(([^\n]*)", text) if "SOURCEURL" in x or "AvgTone" in x]
-    assert text.count("Window") == 0 and wide
+    df = QUERIES["silver_latest_file_wins"](spark, SMALL)
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    by_id = r"Exchange hashpartitioning\(input_file_date#\d+, GlobalEventID"
+    assert "Window" not in text and "ReusedExchange [input_file_date" in text
+    assert len(re.findall(rf"(?<!\], ){by_id}", text)) == 1
+    # The join adds no shuffle of wide rows.
+    assert not re.search(r"Exchange hashpartitioning\(event_date#\d+, input_file_date", text)
 
 
 def test_silver_followed_by_its_report_shuffles_ids_once(spark, lake):
