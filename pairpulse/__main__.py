@@ -53,10 +53,11 @@ def main(argv: list[str] | None = None) -> None:
     cfg = EngineConfig(measure_type="bigint" if args.wide_counts else "int")
     lake = Lake(args.prefix, cfg)
     today = dt.date.today()
-    if args.command == "create" or getattr(args, "root", None):
-        lake.create(spark, args.root)
     if args.command == "create":
+        lake.create(spark, args.root)
         return
+    if getattr(args, "root", None):
+        lake.attach(spark, args.root)
     if args.command == "strays":
         print("files without a date in their name:", landing_strays(spark, args.landing).count())
     elif args.command == "daily":

@@ -370,7 +370,7 @@ FROM expected LEFT JOIN arrived ON expected.slot = arrived.slot GROUP BY file_da
 days AS (
   SELECT DISTINCT input_file_date, CASE WHEN day(input_file_date) = 19 THEN 'no .CSV member'
     WHEN day(input_file_date) IN (13, 17) THEN 'damaged'
-    WHEN day(input_file_date) = 23 AND month(input_file_date) = 1 THEN 'larger than an archive may be' END AS read_error
+    WHEN day(input_file_date) = 23 AND month(input_file_date) = 1 THEN 'larger than 4194304 bytes' END AS read_error
   FROM lines WHERE day(input_file_date) <> 1
 )
 SELECT lines.*, read_error FROM lines JOIN days USING (input_file_date) WHERE read_error IS NULL

@@ -249,7 +249,7 @@ def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lines.read_archives(spark, folder, days, max_bytes=fx.LARGEST_ARCHIVE)
     rows = to_bronze(raw, diagnostics=True)
     reason = F.col(schema.READ_ERROR)
-    known = F.when(reason.isin(lines.TOO_LARGE, lines.NO_MEMBER), reason).otherwise("damaged")
+    known = F.when(reason.isin(lines.TOO_LARGE.format(fx.LARGEST_ARCHIVE), lines.NO_MEMBER), reason).otherwise("damaged")
     failed = rows.filter(reason.isNotNull()).select("input_file_date", known.alias(schema.READ_ERROR)).distinct()
     good = rows.filter(reason.isNull()).select(*_ROUNDTRIP, schema.READ_ERROR)
     return good.unionByName(failed, allowMissingColumns=True)

@@ -30,13 +30,25 @@ def new_scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def _stage_database(spark: SparkSession) -> str:
-    """One for each scratch folder, as a catalog that lasts keeps the folder of a database."""
-    root = scratch_root(spark)
-    name = f"pairpulse_stage_{zlib.crc32(root.encode()):08x}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/{name}'")
+    """``pairpulse_stage``; one of its own for a scratch folder below which that is not, as a
+    catalog that lasts keeps the folder of a database."""
+    root, name = scratch_root(spark), "pairpulse_stage"
+
+    def create() -> bool:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/{name}'")
+        return _plain(spark.catalog.getDatabase(name).locationUri) == _plain(f"{root}/{name}")
+
+    if not create():
+        name = f"pairpulse_stage_{zlib.crc32(root.encode()):08x}"
+        create()
     return name
 
 
+def _plain(uri: str) -> str:
+    """A location without the scheme that the catalog puts before local paths."""
+    return "/" + uri.removeprefix("file:").lstrip("/") if uri.startswith(("file:", "/")) else uri
+
+
 def stage(df: DataFrame, label: str) -> str:
     """Write ``df`` to a new scratch table and return its name."""
     name = f"{_stage_database(df.sparkSession)}.{label}_{uuid.uuid4().hex}"

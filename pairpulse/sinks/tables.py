@@ -43,6 +43,10 @@ class Table:
     def database(self) -> str:
         return self.name.rsplit(".", 1)[0]
 
+    def folder(self, root: str) -> str:
+        """Where the table is kept below a root: the place of a managed one, too."""
+        return f"{root.rstrip('/')}/{self.database}/{self.name.rsplit('.', 1)[1]}"
+
     @property
     def stored_columns(self) -> list[str]:
         """Column order of the stored table: partition columns last."""
@@ -96,28 +100,38 @@ class Lake:
         return Table(f"{self.prefix}silver.stream_batches", schema.STREAM_BATCHES, ("stream", "batch_id"),
                      "What a stream has done with each of its batches.")
 
-    def create(self, spark: SparkSession, root: str | None = None) -> None:
-        """Create what does not exist yet.
+    @property
+    def tables(self) -> list[Table]:
+        return [self.bronze, self.silver, self.event_days, self.stream_batches, self.gold]
 
-        With ``root`` the tables are external ones in folders below it, and the partitions
-        found there are registered: a process whose catalog does not know the tables picks
-        up what another one has published. Without it they are managed by a catalog that
-        lasts. A catalog that does not last sees partitions as of this call, so processes
-        that share a root take turns.
-        """
+    def create(self, spark: SparkSession, root: str | None = None) -> None:
+        """Create what does not exist yet, below ``root`` if one is given: managed tables, for
+        a catalog that lasts."""
         purpose = {"bronze": "Event lines as they came, typed",
                    "silver": "Events between focus countries, one row per id",
                    "gold": "Monthly index per country pair"}
-        for table in (self.bronze, self.silver, self.event_days, self.stream_batches, self.gold):
+        for table in self.tables:
             where = f" LOCATION '{root}/{table.database}'" if root else ""
             layer = table.database.removeprefix(self.prefix)
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.database} "
                       f"COMMENT '{purpose[layer]}'{where}")
-            folder = f"{root}/{table.database}/{table.name.rsplit('.', 1)[1]}" if root else None
-            spark.sql(table.create_sql(folder))
-            if folder and _file_system(spark, folder).exists(_path(spark, folder)):
+            spark.sql(table.create_sql())
+
+    def attach(self, spark: SparkSession, root: str) -> None:
+        """Register the tables below ``root`` in a catalog that does not know them, with the
+        partitions that are there: this is how a process picks up what another one has
+        published. Such a catalog sees partitions as of this call, so processes that share a
+        root take turns. Tables that it does know only get partitions they lack.
+        """
+        for table in self.tables:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.database} LOCATION '{root}/{table.database}'")
+            spark.sql(table.create_sql(table.folder(root)))
+            if self._is_stored(spark, root, table):
                 spark.sql(f"ALTER TABLE {table.name} RECOVER PARTITIONS")
 
+    def _is_stored(self, spark: SparkSession, root: str, table: Table) -> bool:
+        return _file_system(spark, root).exists(_path(spark, table.folder(root)))
+
 
 def _insert(df: DataFrame, table: Table) -> None:
     """Replace the partitions present in ``df``, if the table was made to do so."""

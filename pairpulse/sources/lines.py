@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -23,7 +23,7 @@ _PARSED = T.StructType(schema.RAW.fields + [T.StructField(_CORRUPT, T.StringType
 _LINES_PER_BATCH = 8192
 _BLOCK = 1 << 20
 # Read errors with a text of their own; any other names what went wrong.
-TOO_LARGE, NO_MEMBER = "larger than an archive may be", "no .CSV member"
+TOO_LARGE, NO_MEMBER = "larger than {} bytes", "no .CSV member"
 # Spark's limit for the content of one binary file.
 MAX_ARCHIVE_BYTES = 2**31 - 1 - 1024
 _DIAGNOSTICS = [T.StructField(schema.MALFORMED, T.BooleanType()), T.StructField(schema.SOURCE_PATH, T.StringType()),
@@ -61,9 +61,9 @@ def read_tsv(spark: SparkSession, landing: str, days: Days | None = None,
 
 
 def list_archives(spark: SparkSession, landing: str, days: Days | None = None,
-                  max_bytes: int = MAX_ARCHIVE_BYTES) -> DataFrame:
+                  max_bytes: int | None = None) -> DataFrame:
     """``path, content`` of every archive below ``landing``; no content if it is larger
-    than ``max_bytes``."""
+    than ``max_bytes`` (``MAX_ARCHIVE_BYTES``)."""
     paths = paths_of(spark, landing, days)
     if not paths:
         return spark.createDataFrame([], "path string, content binary")
@@ -72,7 +72,7 @@ def list_archives(spark: SparkSession, landing: str, days: Days | None = None,
     if days is not None:
         files = files.filter(path_in_days(F.col("_metadata.file_path"), days))
     # A pushed filter on the length keeps the content of larger files from being read.
-    fits = F.col("length") <= max_bytes
+    fits = F.col("length") <= (max_bytes or MAX_ARCHIVE_BYTES)
     return files.filter(fits).select("path", "content").unionByName(
         files.filter(~fits).select("path", F.lit(None).cast("binary").alias("content")))
 
@@ -81,14 +81,14 @@ def _frame(path: str, lines: list[str | None], error: str | None = None) -> pd.D
     return pd.DataFrame({"source_path": path, "line": lines, "read_error": error})
 
 
-def _lines_of(path: str, content: bytes | None) -> Iterator[pd.DataFrame]:
+def _lines_of(path: str, content: bytes | None, max_bytes: int) -> Iterator[pd.DataFrame]:
     """First .CSV member in bounded batches; one error row if it cannot be read.
 
     The member is inflated twice: once to the end, which verifies its checksum, and only
     then to give its lines. A damaged archive therefore gives no line at all.
     """
     if content is None:
-        yield _frame(path, [None], TOO_LARGE)
+        yield _frame(path, [None], TOO_LARGE.format(max_bytes))
         return
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
@@ -112,16 +112,19 @@ def _lines_of(path: str, content: bytes | None) -> Iterator[pd.DataFrame]:
         yield _frame(path, [None], f"{type(e).__name__}: {e}")
 
 
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            yield from _lines_of(path, content)
+def _unzip(max_bytes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                yield from _lines_of(path, content, max_bytes)
 
+    return run
 
-def unpack_archives(archives: DataFrame, quote: str = "") -> DataFrame:
+
+def unpack_archives(archives: DataFrame, quote: str = "", max_bytes: int | None = None) -> DataFrame:
     """``path, content`` -> raw lines. Python only inflates; the fields are parsed by
     the same JVM parser as in :func:`read_tsv`. Blank lines are skipped, as there."""
-    lines = archives.select("path", "content").mapInPandas(_unzip, _LINES)
+    lines = archives.select("path", "content").mapInPandas(_unzip(max_bytes or MAX_ARCHIVE_BYTES), _LINES)
     text = F.col("line")
     parsed = lines.filter(text.isNull() | (F.trim(text) != "")).select(
         F.from_csv(text, ", ".join(f"`{n}` string" for n in _PARSED.names), csv_options(quote))
@@ -134,5 +137,5 @@ def unpack_archives(archives: DataFrame, quote: str = "") -> DataFrame:
 
 
 def read_archives(spark: SparkSession, landing: str, days: Days | None = None,
-                  quote: str = "", max_bytes: int = MAX_ARCHIVE_BYTES) -> DataFrame:
-    return unpack_archives(list_archives(spark, landing, days, max_bytes), quote)
+                  quote: str = "", max_bytes: int | None = None) -> DataFrame:
+    return unpack_archives(list_archives(spark, landing, days, max_bytes), quote, max_bytes)

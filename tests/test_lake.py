@@ -188,10 +188,13 @@ def test_three_processes_share_a_root(tmp_path):
 
 
 def test_dropped_partitions_of_a_root_stay_dropped(spark, tmp_path):
-    lake = new_lake(spark, tmp_path)
+    lake, root = Lake(prefix=f"l_{uuid.uuid4().hex[:8]}_"), str(tmp_path / "root")
+    lake.attach(spark, root)
     publish(bronze(spark, event(1, "2025-01-10"), event(2, "2025-01-11")), lake.bronze)
     drop_partitions(spark, lake.bronze, [day("2025-01-10"), day("2025-03-01")])
-    lake.create(spark, str(tmp_path / lake.prefix))
+    for table in lake.tables:
+        spark.sql(f"DROP TABLE {table.name}")
+    lake.attach(spark, root)
     assert rows(lake.bronze.read(spark), "GlobalEventID") == [(2,)]
     assert not glob.glob(f"{tmp_path}/*/*bronze/events/input_file_date=2025-01-10")
     assert spark.sql(f"SHOW PARTITIONS {lake.bronze.name}").count() == 1
