@@ -32,7 +32,7 @@ UNDETERMINED = "und"
 LEAST_SCORE = 0.4
 
 _SLOTS = 20          # bits of the lexicon's address
-_PIECE = 1 << 17     # words decoded as one chain at most
+_PIECE = 1 << 17     # words of one text that are decoded as one chain at most
 _BLOCK = 128
 _SALTS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)]
 
@@ -91,9 +91,11 @@ def _emissions(weights: np.ndarray, trigrams, first, others) -> np.ndarray:
     return out
 
 
-def marginals(emissions: np.ndarray, opens: np.ndarray, transitions: np.ndarray,
-              start: np.ndarray) -> np.ndarray:
-    """Probability of each label for each word, by forward-backward over chained texts.
+def marginals(emissions: np.ndarray, opens: np.ndarray, transitions: np.ndarray, start: np.ndarray,
+              with_pairs: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """Probability of each label for each word, by forward-backward over chained texts; with
+    ``with_pairs`` also how many transitions of each kind are expected, by the probability
+    of each pair of labels of neighbouring words.
 
     ``opens`` marks the first word of each text. The words are cut into blocks of equal
     length. The product of step matrices over each block gives the messages between the
@@ -133,13 +135,19 @@ def marginals(emissions: np.ndarray, opens: np.ndarray, transitions: np.ndarray,
         x /= x.sum(axis=1, keepdims=True)
         forward[t] = x
     y = behind
+    pairs = np.zeros((k, k))
     for t in reversed(range(_BLOCK)):
-        forward[t] *= y
         z = y * e[t]
+        if with_pairs:
+            pair = (forward[t - 1] if t else ahead)[:, :, None] * a * z[:, None, :]
+            pair /= pair.sum(axis=(1, 2), keepdims=True)
+            pairs += pair[~new[t]].sum(axis=0)
+        forward[t] *= y
         y = np.where(new[t][:, None], z @ s[:, None], z @ a.T)
         y /= y.sum(axis=1, keepdims=True)
     p = forward.swapaxes(0, 1).reshape(-1, k)[:n]
-    return p / p.sum(axis=1, keepdims=True)
+    p = p / p.sum(axis=1, keepdims=True)
+    return (p, pairs) if with_pairs else p
 
 
 def _pieces(texts: list[bytes], labels: np.ndarray, random: np.random.Generator):
@@ -188,7 +196,7 @@ def _train(texts: list[bytes], labels: np.ndarray, n_labels: int, lexicon: np.nd
             tri = trigrams[np.repeat(first[own] - begin, n_tri) + np.arange(int(n_tri.sum()))]
             rest = [ids[own] for ids in others]
             opens = np.arange(len(own)) % SEQUENCE_WORDS == 0
-            p = marginals(_emissions(w, tri, begin, rest), opens, tr, st)
+            p, expected = marginals(_emissions(w, tri, begin, rest), opens, tr, st, with_pairs=True)
             delta = eye[y] - p
             ids = np.concatenate([tri, *rest])
             wide = np.concatenate([np.repeat(delta, n_tri, axis=0), *[delta] * len(rest)])
@@ -196,12 +204,9 @@ def _train(texts: list[bytes], labels: np.ndarray, n_labels: int, lexicon: np.nd
             grad /= len(own)
             square += (grad ** 2).sum(axis=0)
             w += 0.3 * grad / np.sqrt(square)
-            # Expected transitions are taken from the marginals of neighbours.
             inner = ~opens[1:]
             seen = eye[y[:-1][inner]].T @ eye[y[1:][inner]]
-            pair = p[:-1][inner][:, :, None] * np.exp(tr) * p[1:][inner][:, None, :]
-            pair /= pair.sum(axis=(1, 2), keepdims=True)
-            grad = (seen - pair.sum(axis=0)) / max(1, inner.sum())
+            grad = (seen - expected) / max(1, inner.sum())
             tr_square += grad ** 2
             tr += 0.3 * grad / np.sqrt(tr_square)
             st += 0.1 * delta[opens].mean(axis=0)
@@ -214,7 +219,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, shards: int = SHARDS) -
     Held-out rows, and rows without language or id, are not learned from. The sample is
     about ``sample_docs`` documents of each language, chosen by a hash of the id, whole
     texts; that bounds what a task and the driver get. Words that the sample has nearly
-    always in one language make its lexicon. Each part of the sample is cut into pieces
+    always in one language make its lexicon, the ``LEXICON_WORDS`` most frequent of them.
+    Each part is trained on pieces of ``SHARD_WORDS`` words, drawn from all of its texts; so
+    these two constants bound the fit, not what it is applied to. Each part of the sample is cut into pieces
     that are strung together in random order, so that the chain sees languages change,
     and a task fits the field on it; the model is the mean of the parts.
     """
@@ -288,16 +295,18 @@ def predict(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
         n_texts = len(bounds) - 1
         sums, weight = np.zeros((n_texts, n_labels)), np.zeros(n_texts)
         text = np.repeat(np.arange(n_texts), np.diff(found.first))
-        opens = np.zeros(len(text) + 1, bool)
-        opens[found.first] = True
+        # A chain begins where its text does, and again after so many words of that text:
+        # what stands before or behind a text in its batch does not count.
+        opens = (np.arange(len(text)) - found.first[text]) % _PIECE == 0
+        begins = np.append(np.flatnonzero(opens), len(text))
         letters = np.concatenate([[0], np.cumsum(letter[found.lower])])
         counted = letters[found.ends] > letters[found.starts]
-        for lo in range(0, len(text), _PIECE):
-            hi = min(len(text), lo + _PIECE)
-            begins = opens[lo:hi].copy()
-            begins[0] = True
+        hi = 0
+        while hi < len(text):  # as many whole chains as fit
+            lo = hi
+            hi = int(begins[np.searchsorted(begins, lo + _PIECE, "right") - 1])
             p = marginals(_emissions(model.weights, *_features(found, lo, hi, model.lexicon, n_labels)),
-                          begins, model.transitions, model.start)
+                          opens[lo:hi], model.transitions, model.start)
             p[~counted[lo:hi]] = 0.0
             for k in range(n_labels):
                 sums[:, k] += np.bincount(text[lo:hi], p[:, k], n_texts)
@@ -318,8 +327,8 @@ def identified(docs: DataFrame, model: Model, *keys: str) -> DataFrame:
     total probability over words with letters, the score its mean. A null text, or one
     without a letter, is ``und`` with score 0, and so is every text if nothing was
     learned. Only the text counts: rows of equal texts agree, ids and other columns are
-    not looked at. Chains longer than 131,072 words are labelled in stretches of that
-    length, all of which count. An empty table gives no rows.
+    not looked at, nor what else is in the batch. Texts longer than 131,072 words are
+    labelled in stretches of that length, all of which count. An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(*keys, "text")

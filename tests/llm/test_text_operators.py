@@ -209,18 +209,23 @@ def test_edit_distance_equals_the_table():
 
 
 def test_line_groups_equal_brute_force(spark, docs):
+    """All pairs of the distinct lines by edit similarity, whatever the features say."""
     own = [(i, n, " ".join(WORD.findall(lower(line)))) for i, t in docs.items()
            for n, line in enumerate((t or "").split("\n"))]
     own = [x for x in own if x[2]]
-    units = sorted({x[2] for x in own})
-    import pyarrow as pa
-
-    fps = []
-    for _, found, _, _, lo, hi in lines._lines(pa.array(units)):
-        fps += lines._hashed(found, lo, hi)[1].tolist()
-    a = np.array(fps, np.uint64)
-    links = [(x, y) for x, y in np.argwhere(np.triu(np.bitwise_count(a[:, None] ^ a[None, :]) <= 3, 1)).tolist()
-             if lines._similar(units[x], units[y])]
+    units = sorted({x[2] for x in own}, key=len)
+    size = np.array([len(u) for u in units])
+    letters = sorted(set("".join(units)))
+    bag = np.array([[u.count(c) for c in letters] for u in units], np.int16)
+    links = []
+    for x in range(len(units)):
+        last = np.searchsorted(size, size[x] / 0.8 + 1e-6, "right")
+        more = bag[x + 1:last] - bag[x]
+        # An edit changes one letter, so it mends one letter too many and one too few at most.
+        least = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+        for y in x + 1 + np.flatnonzero(least <= size[x + 1:last] * 0.2 + 1e-6):
+            if lines._similar(units[x], units[y]):
+                links.append((x, int(y)))
     assert links
     name = groups(range(len(units)), links)
     at = {u: name[i] for i, u in enumerate(units)}
@@ -387,6 +392,47 @@ def test_marginals_equal_enumeration():
     assert np.allclose(language.marginals(e, opens, t, s), expected)
 
 
+def test_expected_transitions_are_the_slope_of_the_partition_function():
+    random = np.random.default_rng(8)
+    n, k = 300, 3
+    e, t, s = random.normal(size=(n, k)), random.normal(size=(k, k)), random.normal(size=k)
+    opens = random.random(n) < 0.05
+    opens[0] = True
+
+    def log_sum(t):
+        total, x = 0.0, None
+        for i in range(n):
+            if opens[i]:
+                total += 0.0 if x is None else np.log(np.exp(x).sum())
+                x = s + e[i]
+            else:
+                x = np.log(np.exp(x[:, None] + t).sum(axis=0)) + e[i]
+        return total + np.log(np.exp(x).sum())
+
+    p, pairs = language.marginals(e, opens, t, s, with_pairs=True)
+    assert np.allclose(p, language.marginals(e, opens, t, s))
+    for i in range(k):
+        for j in range(k):
+            step = np.zeros((k, k))
+            step[i, j] = 1e-5
+            assert np.isclose(pairs[i, j], (log_sum(t + step) - log_sum(t - step)) / 2e-5, rtol=1e-4)
+
+
+def test_a_text_is_labelled_alike_alone_and_in_any_batch(monkeypatch):
+    import pyarrow as pa
+
+    random = np.random.default_rng(6)
+    k = 3
+    model = language.Model(["a", "b", "c"], random.normal(size=(k, language.FEATURES + k + 1)).astype(np.float32),
+                           2 * random.normal(size=(k, k)), random.normal(size=k), np.zeros(1 << 20, np.int16))
+    monkeypatch.setattr(language, "_PIECE", 64)
+    texts = [" ".join("".join(random.choice(list("abcdefgh"), 4)) for _ in range(n)) for n in (8, 64, 1, 200, 65, 8, 63)]
+    label, score = language.predict(pa.array(texts), model)
+    for i, text in enumerate(texts):
+        alone = language.predict(pa.array([text]), model)
+        assert alone[0][0] == label[i] and np.isclose(alone[1][0], score[i])
+
+
 def test_code_switched_words_are_told_apart(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(docs)
