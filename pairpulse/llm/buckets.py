@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pairpulse.llm.common import components, saved
-from pairpulse.llm.text import spanning_forest
+from pairpulse.llm.text import mix, spanning_forest
 
 #: Members of a bucket that one task compares with as many others.
 CHUNK_ROWS = 512
 #: Bits of the filter of keys that a second scan consults; it only saves work.
-FILTER_BITS = 1 << 26
+FILTER_BITS = 1 << 27
+#: Bits that tell units with the same key apart, and keys that a task holds before it sends them.
+TAG_BITS, FLUSH_KEYS = 24, 1 << 22
 
 Links = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
 
@@ -70,16 +72,94 @@ def linked(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], paylo
 class KeyFilter:
     """Tells which keys may be in a set; never denies one that is."""
 
-    def __init__(self, keys: DataFrame, bits: int = FILTER_BITS):
-        """``keys``: one long column. The filter has a fixed size, whatever the number of keys."""
-        self.bits = bits
+    def __init__(self, words: np.ndarray):
+        """``words``: bits by the low bits of a key; their number is a power of two."""
+        self.words = words
+
+    @classmethod
+    def of(cls, keys: DataFrame, bits: int = FILTER_BITS) -> KeyFilter:
+        """Of one long column. The filter has a fixed size, whatever the number of keys."""
         slot = F.pmod(F.col(keys.columns[0]), F.lit(bits))
         rows = (keys.select((slot / 64).cast("int").alias("at"), (slot % 64).cast("int").alias("bit"))
                 .groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("word")))
         found = rows.toArrow()
-        self.words = np.zeros(bits // 64, np.uint64)
-        self.words[found.column("at").to_numpy()] = found.column("word").to_numpy().view(np.uint64)
+        words = np.zeros(bits // 64, np.uint64)
+        words[found.column("at").to_numpy()] = found.column("word").to_numpy().view(np.uint64)
+        return cls(words)
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys.view(np.uint64) & np.uint64(self.bits - 1)
+        slot = keys.view(np.uint64) & np.uint64(64 * len(self.words) - 1)
         return (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _ends(packed: np.ndarray) -> np.ndarray:
+    """Of sorted tagged keys, the first of each key and, where it has more, the last."""
+    key = packed >> np.uint64(TAG_BITS)
+    new = np.append(True, key[1:] != key[:-1])[:len(key)]
+    last = np.append(new[1:], True)[:len(key)]
+    return packed[new | last]
+
+
+def _blobs(held: list[tuple[np.ndarray, np.ndarray]], split: int) -> Iterator[pa.RecordBatch]:
+    """The ends of the keys of each part, as one binary value a part."""
+    part, packed = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(part.astype(np.uint16), kind="stable")
+    edges = np.searchsorted(part[order], np.arange((1 << split) + 1, dtype=np.uint64))
+    for i in range(1 << split):
+        if edges[i] < edges[i + 1]:
+            own = _ends(np.sort(packed[order[edges[i]:edges[i + 1]]]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["part", "packed"])
+
+
+def shared_keys(texts: DataFrame, keyed: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]],
+                bits: int = FILTER_BITS) -> tuple[KeyFilter, KeyFilter]:
+    """Filters of the keys that occur twice or more, and of those that different units have.
+
+    ``keyed`` gives keys and units, well mixed 64-bit numbers, of a batch of ``texts``. A key
+    is shuffled as a number of 8 bytes, of which ``TAG_BITS`` stand for the unit: two units
+    are taken for one in one of 2^24 cases, for each key anew. Tasks send at most two
+    numbers a key and flush, so a hot key stays small. Numbers go by ranges of the filter;
+    there are as many ranges as partitions of ``texts``, and each returns its part of the
+    two filters, whose size is fixed.
+    """
+    slots = bits.bit_length() - 1
+    split = min(max(4, (texts.rdd.getNumPartitions() - 1).bit_length()), 12)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for key, unit in keyed(batch):
+                turned = key << np.uint64(64 - slots) | key >> np.uint64(slots)
+                tag = mix(unit ^ mix(key)) >> np.uint64(64 - TAG_BITS)
+                rest = turned << np.uint64(split) >> np.uint64(TAG_BITS) << np.uint64(TAG_BITS)
+                held.append((turned >> np.uint64(64 - split), rest | tag))
+                size += len(key)
+                if size >= FLUSH_KEYS:
+                    yield from _blobs(held, split)
+                    held, size = [], 0
+        if size:
+            yield from _blobs(held, split)
+
+    def filtered(group: pa.Table) -> pa.Table:
+        part = group.column("part")[0].as_py()
+        own = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("packed")]))
+        same = own[1:] >> np.uint64(TAG_BITS) == own[:-1] >> np.uint64(TAG_BITS)
+        found = []
+        for which in (same, same & (own[1:] != own[:-1])):
+            words = np.zeros((bits >> split) // 8, np.uint8)
+            slot = np.unique(own[1:][which] >> np.uint64(64 - slots + split))
+            np.bitwise_or.at(words, slot >> np.uint64(3), np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8))
+            found.append(words.tobytes())
+        return pa.table({"part": pa.array([part], pa.int32()), "repeated": pa.array([found[0]], pa.binary()),
+                         "several": pa.array([found[1]], pa.binary())})
+
+    parts = (texts.mapInArrow(packed, "part int, packed binary").groupBy("part")
+             .applyInArrow(filtered, "part int, repeated binary, several binary")).toArrow()
+    filters = []
+    for name in ("repeated", "several"):
+        words = np.zeros((1 << split, bits >> split + 3), np.uint8)
+        for part, own in zip(parts.column("part").to_pylist(), parts.column(name)):
+            words[part] = np.frombuffer(own.as_buffer(), np.uint8)
+        filters.append(KeyFilter(words.ravel().view("<u8")))
+    return filters[0], filters[1]

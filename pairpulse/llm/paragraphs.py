@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from pairpulse.llm.buckets import KeyFilter, linked
+from pairpulse.llm.buckets import linked, shared_keys
 from pairpulse.llm.common import saved
 from pairpulse.llm.text import chunks, mix, shingle_hashes, words
 
@@ -170,20 +170,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, _, (_, _, paragraph, band_keys), (segments, _, chosen) in _scan(batch.column("text")):
-                segment = segments[chosen]
-                key = np.concatenate([band_keys.ravel(), segment]).view(np.int64)
-                unit = np.concatenate([np.tile(paragraph, BANDS), segment]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(unit)], names=["key", "unit"])
-
-    held = saved(texts.mapInArrow(keys, "key long, unit long").groupBy("key")
-                 .agg(F.count("*").alias("n"), F.min("unit").alias("lo"), F.max("unit").alias("hi"))
-                 .filter("n > 1").select("key", (F.col("lo") != F.col("hi")).alias("several")))
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(
-        (KeyFilter(held.select("key")), KeyFilter(held.filter("several").select("key"))))
+    def keys(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for _, _, _, (_, _, paragraph, band_keys), (segments, _, chosen) in _scan(batch.column("text")):
+            segment = segments[chosen]
+            yield (np.concatenate([band_keys.ravel(), segment]),
+                   np.concatenate([np.tile(paragraph, BANDS), segment]))
+
+    shared = docs.sparkSession.sparkContext.broadcast(shared_keys(texts, keys))
     schema = StructType([texts.schema["doc_id"], *StructType.fromDDL(
         "kind int, key long, unit long, start int, stop int, shingles array<long>").fields])
     arrow = to_arrow_schema(schema)
@@ -223,7 +216,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     placed = saved(texts.mapInArrow(places, schema))
     lines = placed.filter(F.col("kind") == _LINE)
-    buckets = (lines.join(held.filter("several"), "key", "left_semi").select("key", "unit").distinct())
+    buckets = lines.select("key", "unit").distinct()
     payload = placed.filter(F.col("kind") == _SHINGLES).groupBy("unit").agg(F.first("shingles").alias("shingles"))
 
     def verified(pairs: DataFrame) -> DataFrame:
