@@ -11,7 +11,7 @@ import xxhash
 
 import __spark_entry__ as entry
 from compare import connect, differences
-from odd import LONG, PASSAGE, benchmark, no_docs, odd_docs, rows
+from odd import LONG, PASSAGE, WORDS, benchmark, no_docs, odd_docs, rows
 from pairpulse.llm import (decontamination, language, licenses, lines, mixing, near_dedup, paragraphs,
                            personal_data, sharding)
 from pairpulse.llm.oracles import ORACLES
@@ -313,6 +313,27 @@ def test_contexts_tell_unseen_identifiers(spark):
     assert spans[6] == "id:16:28" and spans[8] == "id:6:18" and spans[7] == ""
 
 
+def test_secrets_and_what_stands_in_their_place(spark):
+    """Planted secrets, unseen identifiers in their contexts, and clean texts with numbers."""
+    random = np.random.default_rng(4)
+    secrets = ["".join(random.choice(list("0123456789abcdef"), 40)) for _ in range(30)]
+    unseen = [f"k{i}-{random.integers(1e6)}" for i in range(10)]
+    def text(number, mark, secret):
+        some = " ".join(random.choice(WORDS, 12))
+        return f'{some} w{number} token {mark} "{secret}" {random.choice(WORDS)} {some}'
+
+    texts = [text(i, "=", x) for i, x in enumerate([*secrets, *unseen])]
+    clean = [f"{' '.join(random.choice(WORDS, 8))} x = {i} and y {1900 + i} {'b' * 40} {'7' * 40}" for i in range(40)]
+    frame = spark.createDataFrame(list(enumerate(texts + clean)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in personal_data.personal_data(frame).collect()}
+    for i, x in enumerate([*secrets, *unseen]):
+        at = texts[i].index(x)
+        assert found[i] == f"id:{at}:{at + len(x)}"
+    assert not any(found[i] for i in range(len(texts), len(texts) + len(clean)))
+    glued = spark.createDataFrame([(1, f'key="{secrets[0]}"; {secrets[1]}z')], "doc_id long, text string")
+    assert personal_data.personal_data(glued).first().spans == "id:5:45"
+
+
 def test_personal_data_of_odd_rows(spark):
     found = personal_data.personal_data(odd_docs(spark)).collect()
     assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows())
