@@ -14,6 +14,8 @@ cloudpickle.register_pickle_by_value(pairpulse)
 
 #: Rows that one task ranks or folds at a time.
 CELL_ROWS = 4096
+#: Equal rows from which on they are told apart by numbers.
+HOT_ROWS = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +64,38 @@ def unit_interval(*cols: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(1 << 53)))
 
 
+def hot_keys(rows: DataFrame, key: str, least: int = HOT_ROWS) -> DataFrame:
+    """``_hot``: the values of ``key`` that more than ``least`` rows have. Saved."""
+    return saved(rows.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n"))
+                 .filter(F.col("_n") > least).select("_hot"))
+
+
+def numbered(rows: DataFrame, key: str, name: str, least: int = HOT_ROWS) -> DataFrame:
+    """``rows`` with ``name``: 0, 1, 2, ... within the rows of a ``key`` that more than ``least`` have, else 0.
+
+    ``key`` is a number without nulls, the same for rows that may stand for one another.
+    The numbers of a key have no gaps, so they are the same set however rows are stored.
+    A partition numbers its own rows after those of the partitions before it; no task
+    holds more rows of a key than one partition of ``rows`` has. Rows are saved.
+    """
+    placed = saved(rows.withColumn("_part", F.spark_partition_id())
+                   .withColumn("_place", F.monotonically_increasing_id()))
+    hot = hot_keys(placed, key, least)
+    plain = placed.drop("_part", "_place")
+    if hot.isEmpty():
+        return plain.withColumn(name, F.lit(0).cast("long"))
+    is_hot = F.col(key) == F.col("_hot")
+    own = placed.join(hot, is_hot)
+    along = Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = (own.groupBy(F.col("_hot").alias("_k"), F.col("_part").alias("_p")).agg(F.count("*").alias("_in"))
+              .select("_k", "_p", (F.sum("_in").over(along) - F.col("_in")).alias("_before")))
+    within = F.row_number().over(Window.partitionBy("_hot", "_part").orderBy("_place")) - 1
+    told = (own.withColumn("_at", within)
+            .join(before, (F.col("_hot") == F.col("_k")) & (F.col("_part") == F.col("_p")))
+            .withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).select(*plain.columns, name))
+    return told.unionByName(plain.join(hot, is_hot, "left_anti").withColumn(name, F.lit(0).cast("long")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` of an undirected graph given by ``a, b``: the smallest node reachable.
 

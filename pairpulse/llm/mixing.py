@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pairpulse.llm.common import saved, unused, with_row_key
+from pairpulse.llm.common import numbered, saved, unused, with_row_key
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -97,6 +97,14 @@ def _fold(units: str, seed: int) -> str:
     return f"aggregate({units}, {zero}, (acc, x) -> {merge})"
 
 
+def _units(sizes: DataFrame, seed: int) -> DataFrame:
+    """Units with the hash ``_h`` that places them; many equal ones get different hashes."""
+    named = F.xxhash64("tag" if "tag" in sizes.columns else "key", "size", F.lit(seed))
+    hashed = sizes.withColumn("_h", named).withColumn("_same", F.xxhash64("_h", "source"))
+    own = F.when(F.col("_copy") > 0, F.xxhash64("_h", "_copy")).otherwise(F.col("_h"))
+    return numbered(hashed, "_same", "_copy").withColumn("_h", own).drop("_same", "_copy")
+
+
 def mixed_copies(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_COPIES,
                  seed: int = SEED) -> DataFrame:
     """How often each unit is taken so that its source meets its target.
@@ -108,7 +116,8 @@ def mixed_copies(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int
     ``FAN_IN`` by a hash; each block leaves at most one unrounded residual, the residuals
     of ``FAN_IN`` blocks meet in the next level, and the last one of a source is rounded
     by its own chance. So the words taken differ from the target by less than the largest
-    unit of the source, and no task holds more than a block.
+    unit of the source, and no task holds more than a block. Many equal units are numbered,
+    so they spread over the blocks like others.
 
     Returns ``key, source, size, source_size, target, copies``, one row per unit. Reruns
     agree. A null source is a source; units of no words are taken their whole part; null
@@ -117,11 +126,10 @@ def mixed_copies(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int
     targets = saved(source_targets(sizes, weights, most))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(rate + 1e-12)
-    shared = (sizes.join(targets.withColumnRenamed("source", "_s"),
+    shared = (_units(sizes, seed).join(targets.withColumnRenamed("source", "_s"),
                          F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
               .withColumn("_whole", whole)
-              .withColumn("_rest", F.greatest(rate - whole, F.lit(0.0)))
-              .withColumn("_h", F.xxhash64("tag" if "tag" in sizes.columns else "key", "size", F.lit(seed))))
+              .withColumn("_rest", F.greatest(rate - whole, F.lit(0.0))))
     splits = (F.col("_rest") > 1e-9) & (F.col("size") > 0)
     place = F.shiftrightunsigned("_h", 11).cast("double") / F.lit(float(1 << 53))
     blocks = F.ceil(F.col("n_units") / FAN_IN)

@@ -4,16 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pairpulse.llm.common import CELL_ROWS, ranked
+from pairpulse.llm.common import CELL_ROWS, hot_keys, numbered, ranked
 
 N_SHARDS = 16
 SEED = 20
 
 
+def _hashed(docs: DataFrame, seed: int) -> DataFrame:
+    """``doc_id, source, size, text_crc32`` and the hash ``_h`` that shuffles the rows.
+
+    It is one of the id. Where more than ``HOT_ROWS`` rows share an id, texts and the
+    numbers of equal rows are hashed too, so that no id fills a cell.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    named = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    rows = docs.select(
+        "doc_id", "source", (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("_t"),
+        F.md5(F.concat_ws("|", F.lit(seed), named)).alias("_h"))
+    same = numbered(rows.withColumn("_id", F.xxhash64("_h"))
+                    .withColumn("_same", F.xxhash64("_h", "source", "_t")), "_same", "_copy")
+    hot = hot_keys(same, "_id")
+    apart = same.join(hot, F.col("_id") == F.col("_hot"), "left")
+    own = F.when(F.col("_hot").isNotNull(), F.md5(F.concat_ws("|", "_h", "_t", "_copy"))).otherwise(F.col("_h"))
+    return apart.withColumn("_h", own).select("doc_id", "source", "size", "text_crc32", "_h")
+
+
 def interleaved_shards(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED) -> DataFrame:
     """Place every row into one of ``n_shards`` shards that all have the mixture of sources.
 
-    Rows are shuffled within their source by a seeded hash of ``doc_id`` and ranked; the
+    Rows are shuffled within their source by a seeded hash of ``doc_id`` (of many rows with
+    one id, also of the text and a number) and ranked; the
     row of rank r among n stands at (r - 1/2) / n. Sorted by that fraction, every stretch
     of the order holds each source in proportion, and equal cuts give the shards, whose
     row counts are at most one apart.
@@ -23,12 +44,7 @@ def interleaved_shards(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SE
     A null source is a source of its own; null and repeated ids are rows like any other.
     Other columns of ``docs`` are ignored. An empty table gives no rows.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        "doc_id", "source", (F.octet_length(text).cast("long") + 1).alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"),
-                                                       F.lit("null")))).alias("_h"))
+    rows = _hashed(docs, seed)
     hashed = F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     in_source = ranked(rows, "source", hashed, "_h", "doc_id", "text_crc32", "size")
     total = docs.count()

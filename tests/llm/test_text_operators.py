@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from compare import connect, differences
@@ -521,6 +522,42 @@ def test_targets_stop_and_share_the_excess(spark):
     assert got == pytest.approx({"a": 30.0, None: 15.0, "b": 170 * 2 / 3, "c": 170 / 3})
 
 
+def half_equal(spark, n=24_000):
+    """Half of the rows are equal in everything, without an id."""
+    own = F.when(F.col("i") % 2 == 0, F.col("i"))
+    return spark.range(n).withColumnRenamed("id", "i").select(
+        own.alias("doc_id"), F.when(own.isNull(), "a b c").otherwise(F.concat_ws(" ", own, F.lit("x y z w")))
+        .alias("text"), F.when(F.col("i") % 6 == 0, "s1").otherwise("s0").alias("source")).repartition(5)
+
+
+def test_equal_units_spread_over_blocks(spark):
+    docs = half_equal(spark)
+    sizes = docs.select(F.col("doc_id").alias("key"), "source", mixing.words_of().alias("size"))
+    units = mixing._units(sizes, mixing.SEED)
+    count = Counter(r.source for r in sizes.collect())
+    blocks = Counter()
+    for r in units.collect():
+        place = (r._h % (1 << 64) >> 11) / (1 << 53)
+        blocks[r.source, int(place * -(-count[r.source] // mixing.FAN_IN))] += 1
+    assert max(blocks.values()) <= 2 * mixing.FAN_IN
+    found = mixing.mixed_copies(sizes).collect()
+    assert len(found) == 24_000
+    check_mixture(found)
+    again = mixing.mixed_copies(sizes.repartition(3)).collect()
+    assert Counter(found) == Counter(again)
+
+
+def test_equal_rows_spread_over_cells(spark):
+    docs = half_equal(spark)
+    hashes = Counter(r._h for r in sharding._hashed(docs, sharding.SEED).select("_h").collect())
+    assert max(hashes.values()) == 1 and len(hashes) == 24_000
+    found, again = (sharding.interleaved_shards(x).collect() for x in (docs, docs.repartition(3)))
+    assert Counter(found) == Counter(again)
+    assert set(Counter(r.shard for r in found).values()) == {1500}
+    few = spark.createDataFrame([(7, f"t{i % 3}", None) for i in range(100)], "doc_id long, text string, source string")
+    assert Counter(r.text_crc32 for r in sharding.interleaved_shards(few).collect()).most_common()[0][1] == 34
+
+
 def test_mixing_odd_rows(spark):
     docs = odd_docs(spark)
     taken = mixing.mixed(docs)
