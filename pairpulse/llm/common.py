@@ -54,8 +54,13 @@ def with_row_key(docs: DataFrame, name: str) -> DataFrame:
     """Rows numbered by partition and place.
 
     Two reads of one stored table give a row the same number, which is what ties a
-    decision about a row to the row, whatever its columns hold.
+    decision about a row to the row, whatever its columns hold. Files are cut by a number
+    that the session keeps from the first call on, not by the cores that are alive when a
+    read is planned, so an executor that is lost or added between two reads moves no cut.
     """
+    conf = docs.sparkSession.conf
+    if conf.get("spark.sql.files.minPartitionNum", None) is None:
+        conf.set("spark.sql.files.minPartitionNum", docs.sparkSession.sparkContext.defaultParallelism)
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
