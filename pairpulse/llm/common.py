@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -42,6 +43,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """As ``saved``, but as a table of columns, which takes less room where many values are null or alike."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or a longer one if ``df`` has such a column."""
     taken = {c.lower() for c in df.columns}

@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from pairpulse.llm.buckets import linked, shared_keys
-from pairpulse.llm.common import saved
+from pairpulse.llm.common import stored
 from pairpulse.llm.text import chunks, mix, shingle_hashes, words
 
 SHINGLE_WORDS = 5
@@ -24,7 +24,7 @@ PARAGRAPH_WORDS = 20
 WINNOW = 4
 #: Repeated segments this many words apart are one run, and runs must be so long.
 RUN_GAP, RUN_WORDS = 12, 20
-_LINE, _SEGMENT, _SHINGLES, _EDGE = 0, 1, 2, 3
+_LINE, _SEGMENT, _SHINGLES, _AGAIN = 0, 1, 2, 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,6 +61,25 @@ def _winnowed(hashes: np.ndarray, inside: np.ndarray) -> np.ndarray:
     return at[inside[at]]
 
 
+def _in_runs(places: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Of segments in order, those in a sequence with small gaps that may be a run's length with its edges."""
+    if not len(places):
+        return places
+    new = np.append(True, (np.diff(places) - SHINGLE_WORDS > RUN_GAP) | (np.diff(text[places]) > 0))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(places)) - 1
+    size = places[last] - places[first] + SHINGLE_WORDS + 2 * (WINNOW - 1)
+    return places[np.repeat(size >= RUN_WORDS, last - first + 1)]
+
+
+def _again(text: np.ndarray, segments: np.ndarray) -> np.ndarray:
+    """Which of some segments, in order, have stood in the same text before."""
+    order = np.lexsort((segments, text))
+    again = np.zeros(len(order), bool)
+    again[order[1:]] = (np.diff(text[order]) == 0) & (segments[order[1:]] == segments[order[:-1]])
+    return again
+
+
 def _edges(chosen: np.ndarray, inside: np.ndarray) -> np.ndarray:
     """Segments next to the first and last of each chain of chosen ones, which end a run."""
     apart = np.diff(chosen) > WINNOW
@@ -166,7 +185,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     not looked at; rows of equal ids are one document. Other columns are ignored.
 
     Copies are counted per key before anything is moved. A second scan then reads places
-    and shingles of those that may collide; the filter it consults has a fixed size.
+    and shingles of those that may collide; the filter it consults has a fixed size. Of
+    segments it moves those only that may be in a run.
     """
     texts = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
 
@@ -195,10 +215,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                     own = np.flatnonzero(close | (repeated.holds(band_keys[band]) if band == 0 else False))
                     columns.append((_LINE, own, pl, ph, paragraph, band_keys[band], None))
                 columns.append((_SHINGLES, np.flatnonzero(near), pl, ph, paragraph, paragraph, shingles))
-                chosen = chosen[repeated.holds(segments[chosen])]
                 sl = np.arange(len(segments))
-                for kind, own in ((_SEGMENT, chosen), (_EDGE, _edges(chosen, inside))):
-                    columns.append((kind, own, sl, sl + SHINGLE_WORDS, segments, segments, None))
+                chosen = _in_runs(chosen[repeated.holds(segments[chosen])], text)
+                own = np.union1d(chosen, _edges(chosen, inside))
+                again = _again(text[own], segments[own])
+                for kind, which in ((_SEGMENT, ~again), (_AGAIN, again)):
+                    columns.append((kind, own[which], sl, sl, None, segments, None))
                 for kind, own, lo, hi, unit, key, payload in columns:
                     if not len(own):
                         continue
@@ -209,12 +231,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                         for i, j in zip(lo[own], hi[own])]
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(at + doc)), pa.array(np.full(len(own), kind, np.int32)),
-                         pa.array(key[own].view(np.int64)), pa.array(unit[own].view(np.int64)),
+                         pa.array(key[own].view(np.int64)),
+                         pa.nulls(len(own), pa.int64()) if unit is None else pa.array(unit[own].view(np.int64)),
                          pa.array((lo[own] - first).astype(np.int32)),
-                         pa.array((hi[own] - first).astype(np.int32)),
+                         pa.nulls(len(own), pa.int32()) if unit is None else pa.array((hi[own] - first).astype(np.int32)),
                          pa.array(sets, pa.list_(pa.int64()))], schema=arrow)
 
-    placed = saved(texts.mapInArrow(places, schema))
+    placed = stored(texts.mapInArrow(places, schema), "passages")
     lines = placed.filter(F.col("kind") == _LINE)
     buckets = lines.select("key", "unit").distinct()
     payload = placed.filter(F.col("kind") == _SHINGLES).groupBy("unit").agg(F.first("shingles").alias("shingles"))
@@ -228,27 +251,27 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     where = lines.select("doc_id", "unit", "start", "stop").distinct()
     paragraphs = (where.join(classes, F.col("unit") == F.col("node"), "left")
                   .withColumn("class", F.coalesce("component", "unit")).drop("node", "component"))
-    segments = (placed.filter(F.col("kind").isin(_SEGMENT, _EDGE))
-                 .select("doc_id", "unit", "start", "stop", F.col("unit").alias("class")))
+    segments = (placed.filter(F.col("kind").isin(_SEGMENT, _AGAIN))
+                .select("doc_id", F.col("key").alias("class"), "start", (F.col("kind") == _AGAIN).alias("again")))
 
-    def first_of(rows: DataFrame) -> DataFrame:
-        least = rows.groupBy("class").agg(
-            F.min(F.struct("doc_id", "start")).alias("least"), F.max("doc_id").alias("_last"))
-        return (rows.join(least.filter("least.doc_id < _last").drop("_last"), "class"))
+    def shared_by_documents(rows: DataFrame) -> DataFrame:
+        first = rows.groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("_last"))
+        return rows.join(first.filter("first_doc < _last").drop("_last"), "class")
 
+    least = paragraphs.groupBy("class").agg(F.min(F.struct("doc_id", "start")).alias("least"))
     is_first = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("start") == F.col("least.start"))
-    found = first_of(paragraphs).select(
+    found = shared_by_documents(paragraphs).join(least, "class").select(
         "doc_id", F.lit("paragraph").alias("kind"), F.col("start").alias("start_word"),
-        F.col("stop").alias("end_word"), F.col("least.doc_id").alias("component_id"),
-        is_first.alias("kept"))
-    along = Window.partitionBy("doc_id").orderBy("start", "stop", "class")
-    gap = F.col("start") - F.lag("stop").over(along)
-    runs = (first_of(segments).withColumn("_first", is_first)
+        F.col("stop").alias("end_word"), F.col("first_doc").alias("component_id"), is_first.alias("kept"))
+    along = Window.partitionBy("doc_id").orderBy("start", "first_doc")
+    gap = F.col("start") - F.lag("start").over(along) - SHINGLE_WORDS
+    kept = (F.col("doc_id") == F.col("first_doc")) & ~F.col("again")
+    runs = (shared_by_documents(segments).select("doc_id", "start", "first_doc", kept.alias("kept"))
             .withColumn("_new", F.when(gap.isNull() | (gap > RUN_GAP), 1).otherwise(0))
             .withColumn("_run", F.sum("_new").over(along))
             .groupBy("doc_id", "_run")
-            .agg(F.min("start").alias("start_word"), F.max("stop").alias("end_word"),
-                 F.min("least.doc_id").alias("component_id"), F.min("_first").alias("kept"))
+            .agg(F.min("start").alias("start_word"), (F.max("start") + SHINGLE_WORDS).alias("end_word"),
+                 F.min("first_doc").alias("component_id"), F.min("kept").alias("kept"))
             .filter(F.col("end_word") - F.col("start_word") >= RUN_WORDS)
             .select("doc_id", F.lit("run").alias("kind"), "start_word", "end_word", "component_id", "kept"))
     return found.unionByName(runs)
