@@ -16,7 +16,7 @@ CHUNK_ROWS = 512
 #: Bits of the filter of keys that a second scan consults; it only saves work.
 FILTER_BITS = 1 << 27
 #: Bits that tell units with the same key apart, and keys that a task holds before it sends them.
-TAG_BITS, FLUSH_KEYS = 24, 1 << 22
+TAG_BITS, FLUSH_KEYS = 24, 1 << 20
 
 Links = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
 

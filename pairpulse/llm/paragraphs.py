@@ -24,6 +24,8 @@ PARAGRAPH_WORDS = 20
 WINNOW = 4
 #: Repeated segments this many words apart are one run, and runs must be so long.
 RUN_GAP, RUN_WORDS = 12, 20
+#: Bytes of text that a task looks at together.
+SCAN_BYTES = 1 << 18
 _LINE, _SEGMENT, _SHINGLES, _AGAIN = 0, 1, 2, 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -119,7 +121,7 @@ def _band_keys(shingles: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarr
 
 def _scan(texts: pa.Array):
     """Of each run of texts: rows, places and keys of its paragraphs and segments."""
-    for at, data, bounds in chunks(texts):
+    for at, data, bounds in chunks(texts, SCAN_BYTES):
         if not len(data):
             continue
         found, pl, ph, line_end = _units(data, bounds)
