@@ -347,21 +347,51 @@ def test_personal_data_of_odd_rows(spark):
 # Repeated passages
 
 def test_repeated_paragraphs_equal_brute_force(spark, docs):
-    own = [(i, n, tuple(WORD.findall(lower(line)))) for i, t in docs.items()
-           for n, line in enumerate((t or "").split("\n"))]
-    own = [x for x in own if len(x[2]) >= paragraphs.PARAGRAPH_WORDS]
+    """Places, components and the occurrence that stays, from all pairs of paragraphs."""
+    own = []
+    for i, t in docs.items():
+        at = 0
+        for line in (t or "").split("\n"):
+            found = tuple(WORD.findall(lower(line)))
+            if len(found) >= paragraphs.PARAGRAPH_WORDS:
+                own.append((i, at, found))
+            at += len(found)
+    own.sort()
     sets = [{w[i:i + 5] for i in range(len(w) - 4)} for _, _, w in own]
     links = [(x, y) for x in range(len(own)) for y in range(x) if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])]
     name = groups(range(len(own)), links)
     members = {}
     for x, g in name.items():
         members.setdefault(g, set()).add(own[x][0])
-    expected = {own[x][0] for x, g in name.items() if len(members[g]) > 1}
+    expected = {(own[x][0], own[x][1], own[x][1] + len(own[x][2]), own[g][0], x == g)
+                for x, g in name.items() if len(members[g]) > 1}
     found = entry.queries()["op8_repeated_paragraphs"](spark, SMALL).collect()
-    assert {r.doc_id for r in found if r.kind == "paragraph"} == expected
+    assert expected and {tuple(r)[:1] + tuple(r)[2:] for r in found if r.kind == "paragraph"} == expected
     assert all(r.component_id <= r.doc_id for r in found)
 
 
+def test_runs_equal_brute_force(spark):
+    """Passages of several lengths in two to four documents: places, first document, the one that stays."""
+    random = np.random.default_rng(29)
+    make = lambda n: [f"w{x}" for x in random.integers(0, 1 << 40, n)]
+    texts, at = {}, {}
+    for number in range(60):
+        passage = make(int(random.integers(20, 90)))
+        for doc in random.choice(80, int(random.integers(2, 5)), replace=False).tolist():
+            own = texts.setdefault(doc, make(40))
+            at.setdefault(doc, {})[len(own)] = (len(passage), number)
+            own += passage + make(40)
+    first = {}
+    for doc in sorted(at):
+        for start in sorted(at[doc]):
+            first.setdefault(at[doc][start][1], (doc, start))
+    expected = {(doc, start, start + size, first[n][0], first[n] == (doc, start))
+                for doc, own in at.items() for start, (size, n) in own.items()}
+    frame = spark.createDataFrame([(doc, " ".join(own)) for doc, own in texts.items()], "doc_id long, text string")
+    found = paragraphs.repeated_passages(frame.repartition(5)).collect()
+    assert {tuple(r)[:1] + tuple(r)[2:] for r in found if r.kind == "run"} == expected
+
+
 def test_bands_reach_the_recall():
     n = paragraphs.bands(0.8, 0.99, 2)
     assert 1 - (1 - 0.8 ** 2) ** n >= 0.99 > 1 - (1 - 0.8 ** 2) ** (n - 1)
