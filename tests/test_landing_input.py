@@ -72,3 +72,9 @@ def test_an_area_of_which_only_names_are_read_is_compressed(spark, star, monkeyp
     monkeypatch.setattr(fx, "write_landing", lambda *a, **k: made.append(real(*a, **k)) or made[0])
     assert {r.kind for r in queries.landing_names(spark, star).collect()} == {"stray", "slot"}
     assert glob.glob(f"{made[0]}/slot=*/*.gz") and not glob.glob(f"{made[0]}/slot=*/*.txt")
+
+
+def test_archives_are_packed_without_another_shuffle(spark, star):
+    packed = fx.pack_archives(fx.event_lines(spark, star, planted=True, by_slot=True))
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Exchange hashpartitioning(slot" in plan
