@@ -8,12 +8,13 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from compare import connect, differences
 from odd import LONG, PASSAGE, WORDS, benchmark, no_docs, odd_docs, rows
-from pairpulse.llm import (decontamination, language, licenses, lines, mixing, near_dedup, paragraphs,
+from pairpulse.llm import (buckets, decontamination, language, licenses, lines, mixing, near_dedup, paragraphs,
                            personal_data, sharding)
 from pairpulse.llm.oracles import ORACLES
 
@@ -617,3 +618,23 @@ def test_shards_hold_the_mixture(spark):
     for shard in range(16):
         own = Counter(r.source for r in found if r.shard == shard)
         assert all(abs(own[s] - n / 16) <= 2 for s, n in total.items())
+
+
+def test_filters_of_few_keys_are_small_for_the_driver(spark):
+    """Keys once, twice by one unit and twice by two; the driver holds no more than what they need."""
+    def keyed(batch):
+        n = batch.column("id").to_numpy().astype(np.uint64)
+        key = (n % np.uint64(300) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        turn = n // np.uint64(300)
+        keep = (turn == 0) | (n % np.uint64(300) >= 100)
+        unit = np.where(n % np.uint64(300) >= 200, key + turn, key)
+        yield key[keep], unit[keep]
+
+    repeated, several = buckets.shared_keys(spark.range(0, 600, 1, 4), keyed)
+    assert len(cloudpickle.dumps((repeated, several))) < 1 << 20
+    keys = (np.arange(300, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for _ in range(2):
+        assert repeated.holds(keys).tolist() == [False] * 100 + [True] * 200
+        assert several.holds(keys).tolist() == [False] * 200 + [True] * 100
+        assert cloudpickle.loads(cloudpickle.dumps(several)).holds(keys).tolist() == several.holds(keys).tolist()
+    assert not buckets.shared_keys(spark.range(0), keyed)[0].holds(keys).any()
