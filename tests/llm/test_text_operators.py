@@ -210,6 +210,43 @@ def test_edit_distance_equals_the_table():
         assert lines.edit_distance(a, b) == table(a, b)
 
 
+def test_pairs_aligned_together_equal_pairs_alone():
+    """Pairs of all lengths and alphabets, near the least similarity, and letters that no band may take for others."""
+    random = np.random.default_rng(5)
+    texts = []
+    for n in (0, 3, 40, 150, 400, 900):
+        for letters in ("ab", "abcdefgh ij", "a\u65e5\u672c\uffff", "x\U0001d518y\0"):
+            for share in (0, 0.1, 0.19, 0.21, 0.9) * 14:
+                line = list(random.choice(list(letters), n))
+                own = [c if random.random() > share / 2 else str(random.choice(list(letters))) for c in line
+                       if random.random() > share / 4]
+                texts += ["".join(line), "".join(own)]
+    x = np.arange(0, len(texts), 2)
+    found = lines._similar_pairs(texts, x, x + 1)
+    for i, j, similar in zip(x, x + 1, found):
+        a, b = texts[i], texts[j]
+        most = max(len(a), len(b)) * (1 - lines.LEAST_SIMILARITY) + 1e-6
+        assert similar == (lines.edit_distance(a, b) <= most)
+    assert 0.2 < found.mean() < 0.95
+
+
+def test_open_buckets_of_any_size_are_linked(spark):
+    """Lines of one bucket, few or many, of which the least is near none of the others."""
+    for n in (5, lines.FEW_MEMBERS + 9):
+        buckets = spark.range(1, n + 1).selectExpr("7L key", "id unit")
+        payload = spark.range(1, n + 1).selectExpr("id unit", "0L s0", "0L s1", "if(id = 1, 'far away', 'near by') line")
+
+        def verified(pairs):
+            return pairs.filter("a > 1")
+
+        def listed(members):
+            a, b = (members.select("key", F.col("unit").alias(x), F.col("component").alias(f"{x}_c")) for x in "ab")
+            return a.join(b, "key").filter("a < b and a_c <> b_c").select("a", "b")
+
+        joined = lines.linked(buckets, verified, payload, lines._similar_rows, lines.FEW_MEMBERS, listed)
+        assert {(r.node, r.component) for r in joined.collect()} == {(i, 2) for i in range(2, n + 1)}
+
+
 def test_line_groups_equal_brute_force(spark, docs):
     """All pairs of the distinct lines by edit similarity, whatever the features say."""
     own = [(i, n, " ".join(WORD.findall(lower(line)))) for i, t in docs.items()
