@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import re
+import time
 
 import pytest
 
@@ -78,3 +79,33 @@ def test_archives_are_packed_without_another_shuffle(spark, star):
     packed = fx.pack_archives(fx.event_lines(spark, star, planted=True, by_slot=True))
     plan = packed._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and "Exchange hashpartitioning(slot" in plan
+
+
+@pytest.mark.parametrize("query", [queries.tsv_roundtrip, lambda spark, star: queries._landed(spark, star)[0]])
+def test_landed_lines_are_kept_compressed(spark, star, monkeypatch, query):
+    made = []
+    real = fx.write_landing
+    monkeypatch.setattr(fx, "write_landing", lambda *a, **k: made.append(real(*a, **k)) or made[0])
+    query(spark, star)
+    assert glob.glob(f"{made[0]}/slot=*/*.gz") and not glob.glob(f"{made[0]}/slot=*/*.txt")
+
+
+def test_compressed_lines_are_read_as_plain_ones(spark, star, monkeypatch):
+    kept = sorted(map(tuple, queries.tsv_roundtrip(spark, star).collect()), key=repr)
+    real = fx.write_landing
+    monkeypatch.setattr(fx, "write_landing", lambda lines, path, **_: real(lines, path))
+    plain = sorted(map(tuple, queries.tsv_roundtrip(spark, star).collect()), key=repr)
+    assert kept == plain and len(kept) == N
+
+
+def test_nothing_shuffled_for_the_landing_area_is_left(spark, star, tmp_path):
+    def shuffles():
+        return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+    before = shuffles()
+    fx.write_landing(fx.event_lines(spark, star, by_slot=True), str(tmp_path / "in"))
+    for _ in range(50):  # the cleaner works beside the session
+        if shuffles() <= before:
+            return
+        time.sleep(0.1)
+    raise AssertionError(f"{shuffles()} shuffles, {before} before")
